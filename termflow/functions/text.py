@@ -1,10 +1,11 @@
 """Tokenisation (FN1-FN3, PR5, PR6).
 
 Reference rule (S3): every character outside ``[a-zA-Z]`` becomes a space,
-then the text is lower-cased and split on whitespace. Extracting maximal runs
-of ASCII letters and lower-casing each run gives the same words, and never
-lower-cases non-ASCII characters into letters (the Kelvin sign or dotted
-capital I would otherwise turn into ``k`` / ``i``).
+then the text is lower-cased and split on whitespace. Splitting on runs of
+non-letters, dropping the empty pieces at either end and lower-casing each
+piece gives the same words, and never lower-cases non-ASCII characters into
+letters (the Kelvin sign or dotted capital I would otherwise turn into ``k`` /
+``i``). A plain ``split`` is about twice as fast as ``regexp_extract_all``.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from termflow import params
 
 def words_expr(text: Column) -> Column:
     """ARRAY<STRING> of words, duplicates and order kept."""
-    runs = F.regexp_extract_all(text, F.lit(params.WORD_PATTERN), 0)
-    return F.transform(runs, lambda w: F.lower(w))
+    pieces = F.split(text, params.NON_WORD_PATTERN)
+    return F.transform(F.filter(pieces, lambda w: w != F.lit("")), lambda w: F.lower(w))
 
 
 def tokenize(docs: DataFrame) -> DataFrame:
@@ -29,8 +30,11 @@ def tokenize(docs: DataFrame) -> DataFrame:
 def explode_tokens(docs: DataFrame) -> DataFrame:
     """PR5/PR6: one row per token occurrence, (doc_id, word).
 
-    The explode happens inside the scan's stage; nothing is shuffled here."""
-    return docs.select("doc_id", F.explode(words_expr(F.col("text"))).alias("word"))
+    The explode happens inside the scan's stage; nothing is shuffled here.
+    Empty pieces are dropped and words lower-cased after the explode, which
+    keeps the whole chain in one codegen stage without array lambdas."""
+    pieces = docs.select("doc_id", F.explode(F.split("text", params.NON_WORD_PATTERN)).alias("w"))
+    return pieces.where(F.col("w") != F.lit("")).select("doc_id", F.lower("w").alias("word"))
 
 
 def token_summary(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ from termflow import params
 from termflow.functions.text import explode_tokens
 from termflow.session import materialize
 
-_RANK_ORDER = (F.desc("n"), F.asc("word"))
+def _rank_order():
+    return (F.desc("n"), F.asc("word"))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -46,8 +47,8 @@ def rank_dictionary(candidates: DataFrame, k: int) -> DataFrame:
     """DI1+DI2: the ``k`` most frequent words, position 0 = most frequent.
     ``orderBy().limit()`` plans as TakeOrderedAndProject (per-partition top-k,
     no full sort); the row_number runs over at most ``k`` rows."""
-    top = candidates.orderBy(*_RANK_ORDER).limit(k)
-    rank = Window.orderBy(*_RANK_ORDER)
+    top = candidates.orderBy(*_rank_order()).limit(k)
+    rank = Window.orderBy(*_rank_order())
     return top.select(
         (F.row_number().over(rank) - 1).cast("int").alias("pos"),
         F.col("word"),

@@ -13,6 +13,7 @@ BODY_TAIL_CHARS = 6  # characters cut from the end of every line ("</doc>")
 DOC_CLOSE = "</doc>"
 # A word is a maximal run of ASCII letters, lower-cased after extraction.
 WORD_PATTERN = "[a-zA-Z]+"
+NON_WORD_PATTERN = "[^a-zA-Z]+"
 # Label 1 iff the document id starts with this prefix.
 REFERENCE_LABEL_PREFIX = "AU"
 # Gradient descent stops when the L2 norm of the weight change is <= this.

@@ -36,6 +36,7 @@ class Preset:
     iterations: int = 3
     reg: float = 0.001
     tol: float = params.GD_TOLERANCE
+    persist: str = "checkpoint"
 
 
 @dataclass
@@ -72,11 +73,24 @@ class Pipeline:
             self._cache["size"] = int(self.dictionary.count())
         return self._cache["size"]
 
+    def _tf(self, side: str) -> DataFrame:
+        """TF rows of one side, written once to the shared checkpoint folder
+        (EX1/EX2): every later stage (statistics, selection, each GD pass,
+        vectors) reads them, a lost executor does not force re-tokenising the
+        corpus, and the doc_id partitioning is kept for later per-document
+        grouping."""
+        key = ("tf", side)
+        if key not in self._cache:
+            docs = self.corpus.train if side == "train" else self.corpus.test
+            self._cache[key] = materialize(tf.tf_long(docs, self.dictionary, self.size),
+                                           self.preset.persist)
+        return self._cache[key]
+
     def tf_train(self) -> DataFrame:
-        return tf.tf_long(self.corpus.train, self.dictionary, self.size)
+        return self._tf("train")
 
     def tf_test(self) -> DataFrame:
-        return tf.tf_long(self.corpus.test, self.dictionary, self.size)
+        return self._tf("test")
 
     def stats(self) -> DataFrame:
         return selection.feature_stats(self.tf_train())
