@@ -21,6 +21,7 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +53,8 @@ class GdModel:
 def weights_frame(spark: SparkSession, weights: np.ndarray, nonzero_only: bool = False) -> DataFrame:
     """(pos, weight) rows from the driver-side vector (at most K rows)."""
     idx = np.flatnonzero(weights) if nonzero_only else np.arange(len(weights))
-    rows = [(int(i), float(weights[i])) for i in idx]
-    return spark.createDataFrame(rows, WEIGHT_SCHEMA)
+    frame = pd.DataFrame({"pos": idx.astype(np.int32), "weight": weights[idx].astype(np.float64)})
+    return spark.createDataFrame(frame, WEIGHT_SCHEMA)  # Arrow transfer
 
 
 def labelled_tf(tf: DataFrame, prefix: str) -> DataFrame:
@@ -88,13 +89,10 @@ def gradient_pass(spark: SparkSession, data: DataFrame, weights: np.ndarray) ->
         F.when(F.col("pos") == F.col("first_pos"),
                softplus(F.col("theta")) - y * F.col("theta")).otherwise(F.lit(0.0)).alias("c"),
     )
-    sums = contrib.groupBy("pos").agg(F.sum("g").alias("g"), F.sum("c").alias("c")).collect()
+    sums = contrib.groupBy("pos").agg(F.sum("g").alias("g"), F.sum("c").alias("c")).toPandas()
     grad = np.zeros(len(weights))
-    costs = []
-    for r in sums:
-        grad[r["pos"]] = r["g"]
-        costs.append(r["c"])
-    return grad, math.fsum(costs)
+    grad[sums["pos"].to_numpy()] = sums["g"].to_numpy()
+    return grad, math.fsum(sums["c"].tolist())
 
 
 def fit_gd(tf: DataFrame, size: int, learning_rate: float, iterations: int, reg: float,
