@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from termflow.functions import parse, text
 from termflow.operators import dictionary as dct
 from termflow.operators import evaluate, gd, tf
-from termflow.plans.classify import Preset, metrics_frame, pipeline, round_doubles
+from termflow.plans.classify import (Preset, metrics_frame, pipeline, pipeline_from_lines,
+                                     round_doubles)
 from termflow.session import scratch_path
 from termflow.sources import sinks
 from termflow.sources.corpus import (documents_as_lines, read_doc_lines, read_table,
@@ -196,6 +197,20 @@ def q_model_comparison(spark, sf_dir):
     return metrics_frame(spark, runs, with_timing=True)
 
 
+def q_lines_gd_confusion(spark, sf_dir):
+    """IO1/IO2 end to end, as the reference runs: the train and test sides are
+    written as document-line files to the shared folder, read back, parsed,
+    and the whole dictionary -> TF -> gradient descent -> confusion pipeline
+    runs on the parsed lines. Equal to ``gd_confusion`` on the table."""
+    lines = documents_as_lines(spark, sf_dir)
+    is_test = (F.col("src_id") % F.lit(MAIN.test_every)) == 0
+    train_path, test_path = scratch_path(spark, "train-lines"), scratch_path(spark, "test-lines")
+    write_doc_lines(lines.where(~is_test), train_path)
+    write_doc_lines(lines.where(is_test), test_path)
+    p = pipeline_from_lines(spark, train_path, test_path, MAIN)
+    return evaluate.confusion(p.gd_predictions())
+
+
 def q_history_sink(spark, sf_dir):
     """IO4: history written as one CSV part file and read back."""
     path = scratch_path(spark, "gd-history")
@@ -237,4 +252,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "svm_reduced_metrics": _ml_metrics("svm", "reduced"),
     "model_comparison": q_model_comparison,
     "history_sink": q_history_sink,
+    "lines_gd_confusion": q_lines_gd_confusion,
 }

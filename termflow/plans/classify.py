@@ -19,7 +19,8 @@ from termflow import params
 from termflow.operators import evaluate, gd, ml, selection, tf
 from termflow.operators.dictionary import build_dictionary
 from termflow.session import materialize
-from termflow.sources.corpus import documents_corpus, split_corpus
+from termflow.functions.parse import parse_doc_lines
+from termflow.sources.corpus import documents_corpus, read_doc_lines, split_corpus
 
 
 @dataclass(frozen=True)
@@ -52,6 +53,15 @@ def load_corpus(spark: SparkSession, sf_dir: str, preset: Preset) -> Corpus:
     return Corpus(all_docs=docs.select("doc_id", "text"), train=train, test=test)
 
 
+def lines_corpus(spark: SparkSession, train_path: str, test_path: str,
+                 mode: str = "FAILFAST") -> Corpus:
+    """The reference's input: two text corpora of document lines (IO1, IO2,
+    PR1-PR4)."""
+    train = parse_doc_lines(read_doc_lines(spark, train_path), mode)
+    test = parse_doc_lines(read_doc_lines(spark, test_path), mode)
+    return Corpus(all_docs=train.unionByName(test), train=train, test=test)
+
+
 @dataclass
 class Pipeline:
     spark: SparkSession
@@ -200,6 +210,16 @@ def pipeline(spark: SparkSession, sf_dir: str, preset: Preset | None = None) ->
     return _PIPELINES[key]
 
 
+def pipeline_from_lines(spark: SparkSession, train_path: str, test_path: str,
+                        preset: Preset | None = None, mode: str = "FAILFAST") -> Pipeline:
+    """Pipeline over two document-line corpora, memoised like ``pipeline``."""
+    preset = preset or Preset()
+    key = (spark.sparkContext.applicationId, "lines", train_path, test_path, preset, mode)
+    if key not in _PIPELINES:
+        _PIPELINES[key] = Pipeline(spark, lines_corpus(spark, train_path, test_path, mode), preset)
+    return _PIPELINES[key]
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (and turn -0.0 into 0.0) for comparisons
     across engines whose summation order differs."""

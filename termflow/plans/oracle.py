@@ -217,4 +217,5 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS pr, "
         "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS rc FROM conf)"))
     q["history_sink"] = _with(full, hist)
+    q["lines_gd_confusion"] = q["gd_confusion"]
     return q
