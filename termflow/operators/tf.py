@@ -71,16 +71,23 @@ def dropped_documents(docs: DataFrame, tf: DataFrame) -> DataFrame:
         "n_docs long, n_with_tf long, n_dropped long")
 
 
-@pandas_udf(VectorUDT())
-def _sparse_vectors(size: pd.Series, indices: pd.Series, values: pd.Series) -> pd.DataFrame:
+def _sparse_vector_udf():
     """Arrow-batched construction of ML sparse vectors from sorted
-    (indices, values) arrays: the struct layout of VectorUDT, type 0 = sparse."""
-    return pd.DataFrame({
-        "type": [0] * len(size),
-        "size": size.astype("int32"),
-        "indices": indices,
-        "values": values,
-    })
+    (indices, values) arrays: the struct layout of VectorUDT, type 0 = sparse.
+
+    Built inside a function so that it is shipped to executors by value:
+    workers need pandas, not this package, on their path."""
+
+    @pandas_udf(VectorUDT())
+    def sparse_vectors(size: pd.Series, indices: pd.Series, values: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({
+            "type": [0] * len(size),
+            "size": size.astype("int32"),
+            "indices": indices,
+            "values": values,
+        })
+
+    return sparse_vectors
 
 
 def tf_vectors(tf: DataFrame, size: int, prefix: str = params.REFERENCE_LABEL_PREFIX,
@@ -95,5 +102,5 @@ def tf_vectors(tf: DataFrame, size: int, prefix: str = params.REFERENCE_LABEL_PR
     return grouped.select(
         "doc_id",
         label_expr(F.col("doc_id"), prefix).cast("double").alias("label"),
-        _sparse_vectors(F.lit(size), F.col("pairs.i"), F.col("pairs.v")).alias("features"),
+        _sparse_vector_udf()(F.lit(size), F.col("pairs.i"), F.col("pairs.v")).alias("features"),
     )
