@@ -100,7 +100,7 @@ def fit_gd(tf: DataFrame, size: int, learning_rate: float, iterations: int, reg:
            mode: str = "cache") -> GdModel:
     """ML6-ML9: run gradient descent over the TF rows of ``size`` positions."""
     spark = tf.sparkSession
-    data = materialize(labelled_tf(tf, prefix), mode)
+    data = materialize(labelled_tf(tf, prefix), mode, keep_partitioning=True)
     r = np.zeros(size)
     model = GdModel(weights=r)
     try:

@@ -47,12 +47,22 @@ def position_counts(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame
             .groupBy("doc_id", "pos").agg(F.count(F.lit(1)).alias("n")))
 
 
-def tf_long(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
+def doc_partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tf_long(docs: DataFrame, dictionary: DataFrame, k: int, partitions: int | None = None) -> DataFrame:
     """ML2/ML3 (transform): (doc_id, pos, n, tf) with tf = n / in-dictionary
     tokens of the document (S7). Documents without a dictionary word have no
-    row and so drop out of training and scoring (S8)."""
+    row and so drop out of training and scoring (S8).
+
+    The aggregated rows are hash-partitioned on doc_id into a fixed number of
+    partitions; this exchange is the one the window needs anyway, and with an
+    explicit count AQE does not coalesce it, so the result (and a checkpoint of
+    it) keeps a partitioning that later per-document grouping can reuse."""
     per_doc = Window.partitionBy("doc_id")
-    counts = position_counts(docs, dictionary, k)
+    n_parts = partitions or doc_partitions(docs.sparkSession)
+    counts = position_counts(docs, dictionary, k).repartition(n_parts, "doc_id")
     return counts.select(
         "doc_id",
         F.col("pos").cast("int").alias("pos"),

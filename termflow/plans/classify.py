@@ -93,7 +93,7 @@ class Pipeline:
         if key not in self._cache:
             docs = self.corpus.train if side == "train" else self.corpus.test
             self._cache[key] = materialize(tf.tf_long(docs, self.dictionary, self.size),
-                                           self.preset.persist)
+                                           self.preset.persist, keep_partitioning=True)
         return self._cache[key]
 
     def tf_train(self) -> DataFrame:

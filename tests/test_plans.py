@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from termflow.operators import dictionary as dct
 from termflow.operators import gd, selection, tf
-from termflow.plans.classify import pipeline
+from termflow.plans.classify import Preset, pipeline
+from termflow.session import materialize
 
 from conftest import SF001, SF01, docs_frame
 from test_text import py_words
@@ -50,21 +51,21 @@ def test_dictionary_topk_uses_take_ordered(no_aqe):
     assert "TakeOrderedAndProject" in plan(dct.rank_dictionary(counts, 100))
 
 
-def test_per_document_work_on_checkpointed_tf_needs_no_shuffle(no_aqe):
-    p = pipeline(no_aqe, SF001)
+def test_per_document_work_on_checkpointed_tf_needs_no_shuffle(spark):
+    """With AQE on (the default), the checkpointed TF still advertises its
+    doc_id partitioning, so the GD window, the vector grouping and the
+    distinct count over documents plan without a doc_id exchange."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    p = pipeline(spark, SF001, Preset(k=3000))
     t = p.tf_train()
-    # GD pass: the window over doc_id reads the checkpoint without an exchange
-    rows = gd._scores(no_aqe, gd.labelled_tf(t, "EN"), np.ones(p.size))
+    data = materialize(gd.labelled_tf(t, "EN"), "cache", keep_partitioning=True)
+    rows = gd._scores(spark, data, np.ones(p.size))
     per_doc = Window.partitionBy("doc_id")
     g = rows.select("pos", F.sum(F.col("tf") * F.col("w")).over(per_doc).alias("th")) \
         .groupBy("pos").agg(F.sum("th"))
-    text = plan(g)
-    window_at = text.index("Window")
-    assert "Exchange" not in text[window_at:].split("BroadcastExchange")[0]
-    # vectors: grouping by doc_id adds no exchange
-    assert "Exchange hashpartitioning" not in plan(tf.tf_vectors(t, p.size, "EN"))
-    # distinct documents for the variance statistics: no exchange either
-    assert "Exchange hashpartitioning" not in plan(t.select("doc_id").distinct())
+    for df in (g, tf.tf_vectors(t, p.size, "EN"), t.select("doc_id").distinct()):
+        assert "Exchange hashpartitioning(doc_id" not in plan(df)
+    data.unpersist()
 
 
 def test_hot_document_id_is_exact(spark):
