@@ -35,6 +35,15 @@ def confusion(predictions: DataFrame) -> DataFrame:
     )
 
 
+def confusion_matrix(predictions: DataFrame) -> DataFrame:
+    """ML20: the 2x2 matrix with rows = true label, columns = predicted label
+    (``pred_0``, ``pred_1``), one row per label present."""
+    return predictions.groupBy("label").agg(
+        F.count_if(F.col("prediction") == 0).cast("long").alias("pred_0"),
+        F.count_if(F.col("prediction") == 1).cast("long").alias("pred_1"),
+    )
+
+
 def f1_report(conf: DataFrame) -> DataFrame:
     """ML14: recall = TP/P, precision = TP/(TP+FP), F1 NULL when TP = 0
     (the reference prints 'NaN (zero TP)')."""

@@ -51,6 +51,17 @@ def select_by_variance(stats: DataFrame, m: int = params.SELECTED_FEATURES,
     return materialize(ranked, mode)
 
 
+def slice_vectors(vectors: DataFrame, selected: DataFrame, col: str = "features") -> DataFrame:
+    """FN14 on ML vectors: ``VectorSlicer`` with the selected positions in
+    falling-variance order (it keeps the given order, S19). The index list
+    has at most M entries, the only thing brought to the driver."""
+    from pyspark.ml.feature import VectorSlicer
+    indices = [r["pos"] for r in selected.orderBy("new_pos").select("pos").collect()]
+    slicer = VectorSlicer(inputCol=col, outputCol=f"{col}_selected", indices=indices)
+    return (slicer.transform(vectors).drop(col)
+            .withColumnRenamed(f"{col}_selected", col))
+
+
 def apply_selection(tf: DataFrame, selected: DataFrame, m: int) -> DataFrame:
     """FN14/ML5 (transform): keep selected features, renumbered in falling
     variance order; values are not re-normalised (S19). Training and test

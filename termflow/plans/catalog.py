@@ -167,6 +167,11 @@ def q_gd_confusion(spark, sf_dir):
     return evaluate.confusion(_p(spark, sf_dir).gd_predictions())
 
 
+def q_gd_confusion_matrix(spark, sf_dir):
+    """ML20: rows = truth, columns = prediction."""
+    return evaluate.confusion_matrix(_p(spark, sf_dir).gd_predictions())
+
+
 def q_gd_f1(spark, sf_dir):
     """ML14."""
     return round_doubles(evaluate.f1_report(evaluate.confusion(_p(spark, sf_dir).gd_predictions())))
@@ -243,6 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gd_predict": q_gd_predict,
     "gd_outcomes": q_gd_outcomes,
     "gd_confusion": q_gd_confusion,
+    "gd_confusion_matrix": q_gd_confusion_matrix,
     "gd_f1": q_gd_f1,
     "gd_false_positives": q_gd_false_positives,
     "class_metrics_gd": q_class_metrics_gd,

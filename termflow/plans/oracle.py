@@ -199,6 +199,10 @@ def oracle_sql() -> dict[str, str]:
         "WHEN label = 1 AND prediction = 0 THEN 'FN' WHEN label = 0 AND prediction = 1 THEN 'FP' "
         "ELSE 'TN' END AS outcome FROM pred"))
     q["gd_confusion"] = _with(full + [_conf()], "SELECT p, n, tp, fn, fp, tn FROM conf")
+    q["gd_confusion_matrix"] = _with(full, (
+        "SELECT label, CAST(sum(CASE WHEN prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS pred_0, "
+        "CAST(sum(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pred_1 "
+        "FROM pred GROUP BY label"))
     prec = "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END"
     rec = "CASE WHEN p > 0 THEN CAST(tp AS DOUBLE) / p END"
     q["gd_f1"] = _with(full + [_conf()], (

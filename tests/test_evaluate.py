@@ -54,3 +54,8 @@ def test_class_metrics_match_spark_evaluator(spark):
 def test_class_metrics_undefined_are_zero(spark):
     m = evaluate.class_metrics(preds(spark, [("a", 0, 0), ("b", 0, 0)])).first()
     assert (m.precision, m.recall, m.f_measure, m.accuracy) == (0.0, 0.0, 0.0, 1.0)
+
+
+def test_confusion_matrix_rows_are_truth(spark):
+    m = {r.label: (r.pred_0, r.pred_1) for r in evaluate.confusion_matrix(preds(spark, ROWS)).collect()}
+    assert m == {0: (1, 4), 1: (1, 2)}

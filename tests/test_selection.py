@@ -38,3 +38,18 @@ def test_apply_selection_keeps_training_order_unnormalised(spark):
     red = {(r.doc_id, r.new_pos): r.tf for r in p.tf_reduced("test").collect()}
     expect = {(d, sel[pos]): v for (d, pos), v in full.items() if pos in sel}
     assert red == expect
+
+
+def test_vector_slicer_equals_long_form_selection(spark):
+    from termflow.operators import tf as tfo
+    p = pipeline(spark, SF001, Preset(m=300))
+    full = tfo.tf_vectors(p.tf_test(), p.size, "EN")
+    sliced = {r.doc_id: r.features for r in selection.slice_vectors(full, p.selected).collect()}
+    via_long = {r.doc_id: r.features for r in p.vectors("test", "reduced").collect()}
+    # documents whose selected entries are all zero have no reduced TF row
+    assert set(via_long) <= set(sliced)
+    for doc, v in sliced.items():
+        if doc in via_long:
+            assert v.size == 300 and v == via_long[doc]
+        else:
+            assert v.numNonzeros() == 0
