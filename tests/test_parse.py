@@ -43,3 +43,20 @@ def test_label_by_prefix_default_au(spark):
     docs = spark.createDataFrame([("AU1", ""), ("AX1", ""), ("A", ""), ("au2", "")], "doc_id string, text string")
     got = {r.doc_id: r.label for r in parse.label_by_prefix(docs).collect()}
     assert got == {"AU1": 1, "AX1": 0, "A": 0, "au2": 0}
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_piece = st.text(alphabet=st.sampled_from(list('ab "=<>/éid url')), max_size=12)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(_piece, _piece, _piece, _piece), min_size=1, max_size=6))
+def test_parse_property_against_python(spark, parts):
+    """Random ids, urls and bodies (including quotes, '>' and marker
+    fragments): the Spark expressions cut exactly where Python slicing does."""
+    lines = [f'<doc id="{a}" url="{b}" title="{c}">{d}</doc>' for a, b, c, d in parts]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    got = [tuple(r) for r in parse.parse_doc_lines(df, "DROPMALFORMED").collect()]
+    assert got == [py_parse(v) for v in lines]
