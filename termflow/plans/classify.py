@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from termflow import params
 from termflow.operators import evaluate, gd, ml, selection, tf
 from termflow.operators.dictionary import build_dictionary
-from termflow.session import materialize
+from termflow.operators.selection import count_documents
+from termflow.session import materialize, right_sized
 from termflow.functions.parse import parse_doc_lines
 from termflow.sources.corpus import documents_corpus, read_doc_lines, split_corpus
 
@@ -150,9 +151,19 @@ class Pipeline:
         key = ("vectors", features)
         if key not in self._cache:
             t0 = time.perf_counter()
-            train = materialize(self.vectors("train", features), "cache")
-            test = materialize(self.vectors("test", features), "cache")
-            self._cache[key] = (train, test, time.perf_counter() - t0)
+            out = []
+            for side in ("train", "test"):
+                base = self.tf_train() if side == "train" else self.tf_test()
+                if features == "reduced":
+                    base = self.tf_reduced(side)
+                # sparse vector size: 12 bytes per non-zero (int index + double)
+                # plus a per-document overhead for id, label and array headers
+                approx = 12 * base.count() + 96 * count_documents(base)
+                # build at full parallelism, then merge the cached partitions
+                # (coalescing first would pull the build into fewer tasks too)
+                cached = materialize(self.vectors(side, features), "cache")
+                out.append(right_sized(cached, approx))
+            self._cache[key] = (out[0], out[1], time.perf_counter() - t0)
         return self._cache[key]
 
     def ml_run(self, kind: str, features: str) -> dict:

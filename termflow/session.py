@@ -109,6 +109,28 @@ def _materialize(df: DataFrame, mode: str) -> DataFrame:
     return df
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def advisory_partition_bytes(spark: SparkSession) -> int:
+    """The partition size AQE aims for when it coalesces shuffles."""
+    raw = (spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+           or spark.conf.get("spark.sql.adaptive.shuffle.targetPostShuffleInputSize", None) or "64m")
+    raw = raw.strip().lower()
+    digits = raw.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(float(digits) * _UNITS[raw[len(digits):]])
+
+
+def right_sized(df: DataFrame, approx_bytes: int) -> DataFrame:
+    """Merge partitions (narrow ``coalesce``, no shuffle) down to about one per
+    advisory partition size, the rule AQE applies to shuffle output. For data
+    an iterative fit scans many times, per-task overhead otherwise dominates
+    when partitions are tiny; a large input keeps all its partitions."""
+    wanted = max(1, -(-approx_bytes // advisory_partition_bytes(df.sparkSession)))
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+
+
 def env_int(name: str, default: int) -> int:
     value = os.environ.get(name)
     return int(value) if value else default
