@@ -124,12 +124,17 @@ class Pipeline:
 
     def vectors(self, side: str, features: str) -> DataFrame:
         """(doc_id, label, features) for ``side`` in {train, test} over the
-        full dictionary (``full``) or the variance selection (``reduced``)."""
+        full dictionary (``full``) or the variance selection (``reduced``).
+
+        Reduced vectors are sliced from the full ones (``VectorSlicer``), as
+        the reference slices each document's full row: a document none of
+        whose words was selected keeps an all-zero vector instead of
+        dropping out."""
+        base = self.tf_train() if side == "train" else self.tf_test()
+        full = tf.tf_vectors(base, self.size, self.preset.prefix)
         if features == "full":
-            base = self.tf_train() if side == "train" else self.tf_test()
-            return tf.tf_vectors(base, self.size, self.preset.prefix)
-        return tf.tf_vectors(self.tf_reduced(side), self.m_size, self.preset.prefix,
-                             pos_col="new_pos")
+            return full
+        return selection.slice_vectors(full, self.selected)
 
     # ---- gradient descent ------------------------------------------------------
     def gd_model(self, tol: float | None = None) -> gd.GdModel:
@@ -154,9 +159,7 @@ class Pipeline:
             out = []
             for side in ("train", "test"):
                 base = self.tf_train() if side == "train" else self.tf_test()
-                if features == "reduced":
-                    base = self.tf_reduced(side)
-                # sparse vector size: 12 bytes per non-zero (int index + double)
+                # sparse vector size (the full rows bound the reduced ones): 12 bytes per non-zero (int index + double)
                 # plus a per-document overhead for id, label and array headers
                 approx = 12 * base.count() + 96 * count_documents(base)
                 # build at full parallelism, then merge the cached partitions

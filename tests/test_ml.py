@@ -14,6 +14,9 @@ def test_lr_and_svm_on_full_and_reduced_features(spark):
         test = p.vectors("test", features).cache()
         size = p.size if features == "full" else p.m_size
         assert train.first().features.size == size
+        # every document with a TF row is kept, also with an all-zero reduced vector
+        assert train.count() == p.tf_train().select("doc_id").distinct().count()
+        assert test.count() == p.tf_test().select("doc_id").distinct().count()
         for fit in (ml.fit_lr, ml.fit_svc):
             scored = ml.score(fit(train), test)
             m = evaluate.class_metrics(scored).first()

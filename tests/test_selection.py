@@ -45,7 +45,8 @@ def test_vector_slicer_equals_long_form_selection(spark):
     p = pipeline(spark, SF001, Preset(m=300))
     full = tfo.tf_vectors(p.tf_test(), p.size, "EN")
     sliced = {r.doc_id: r.features for r in selection.slice_vectors(full, p.selected).collect()}
-    via_long = {r.doc_id: r.features for r in p.vectors("test", "reduced").collect()}
+    via_long = {r.doc_id: r.features for r in
+                tfo.tf_vectors(p.tf_reduced("test"), 300, "EN", pos_col="new_pos").collect()}
     # documents whose selected entries are all zero have no reduced TF row
     assert set(via_long) <= set(sliced)
     for doc, v in sliced.items():
