@@ -48,7 +48,14 @@ def position_counts(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame
 
 
 def doc_partitions(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Partition count for the doc_id-partitioned TF: the cluster's shuffle
+    sizing, i.e. ``spark.sql.shuffle.partitions`` or, when the cluster lets
+    AQE start from a larger count, ``initialPartitionNum``. The TF exchange
+    keeps a fixed count (so its partitioning survives materialization), so
+    this is where a cluster sizes it for its data."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(n, int(initial)) if initial else n
 
 
 def tf_long(docs: DataFrame, dictionary: DataFrame, k: int, partitions: int | None = None) -> DataFrame:

@@ -39,6 +39,7 @@ class Preset:
     reg: float = 0.001
     tol: float = params.GD_TOLERANCE
     persist: str = "checkpoint"
+    partitions: int | None = None   # TF partitions by doc_id; None = cluster shuffle sizing
 
 
 @dataclass
@@ -93,8 +94,9 @@ class Pipeline:
         key = ("tf", side)
         if key not in self._cache:
             docs = self.corpus.train if side == "train" else self.corpus.test
-            self._cache[key] = materialize(tf.tf_long(docs, self.dictionary, self.size),
-                                           self.preset.persist, keep_partitioning=True)
+            self._cache[key] = materialize(
+                tf.tf_long(docs, self.dictionary, self.size, self.preset.partitions),
+                self.preset.persist, keep_partitioning=True)
         return self._cache[key]
 
     def tf_train(self) -> DataFrame:

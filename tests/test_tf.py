@@ -54,3 +54,14 @@ def test_partition_count_does_not_change_tf(spark):
     a = sorted(tuple(r) for r in tf.tf_long(docs_frame(spark, TRAIN), d, 3).collect())
     b = sorted(tuple(r) for r in tf.tf_long(docs_frame(spark, TRAIN).repartition(5), d, 3).collect())
     assert a == b
+
+
+def test_doc_partitions_follow_cluster_sizing(spark):
+    assert tf.doc_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
+    try:
+        assert tf.doc_partitions(spark) == 64
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    d = _dict(spark)
+    assert tf.tf_long(docs_frame(spark, TRAIN), d, 3, partitions=5).rdd.getNumPartitions() == 5
