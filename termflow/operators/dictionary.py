@@ -56,6 +56,17 @@ def rank_dictionary(candidates: DataFrame, k: int) -> DataFrame:
     )
 
 
+def dictionary_from_counts(counts: DataFrame, k: int = params.DICTIONARY_SIZE,
+                           prefilter: bool = True, mode: str = "checkpoint") -> DataFrame:
+    """DI1+DI2 from word counts that are already materialized (read twice:
+    once for the threshold, once for the candidates)."""
+    if prefilter:
+        threshold = count_threshold(counts, k)
+        candidates = counts if threshold is None else counts.where(F.col("n") >= threshold)
+        return materialize(rank_dictionary(candidates, k), mode)
+    return materialize(rank_dictionary(counts, k), mode)
+
+
 def build_dictionary(docs: DataFrame, k: int = params.DICTIONARY_SIZE,
                      prefilter: bool = True, mode: str = "checkpoint") -> DataFrame:
     """ML1 (fit): (pos INT, word STRING, n BIGINT) from training documents.
@@ -65,12 +76,10 @@ def build_dictionary(docs: DataFrame, k: int = params.DICTIONARY_SIZE,
     of ``k`` rows from every partition. The result is materialized (``mode``)
     because it is read by every later stage and broadcast to every task."""
     counts = word_counts(docs)
-    if prefilter:
-        counts = materialize(counts, "cache" if mode != "none" else "none")
-        threshold = count_threshold(counts, k)
-        candidates = counts if threshold is None else counts.where(F.col("n") >= threshold)
-        dictionary = materialize(rank_dictionary(candidates, k), mode)
-        if mode != "none":
-            counts.unpersist()
-        return dictionary
-    return materialize(rank_dictionary(counts, k), mode)
+    if not prefilter:
+        return dictionary_from_counts(counts, k, False, mode)
+    counts = materialize(counts, "cache" if mode != "none" else "none")
+    dictionary = dictionary_from_counts(counts, k, True, mode)
+    if mode != "none":
+        counts.unpersist()
+    return dictionary

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termflow.functions import parse, text
-from termflow.operators import dictionary as dct
 from termflow.operators import evaluate, gd, tf
 from termflow.plans.classify import (Preset, metrics_frame, pipeline, pipeline_from_lines,
                                      round_doubles)
@@ -70,7 +69,7 @@ def q_token_pairs(spark, sf_dir):
 # ---- dictionary / TF -------------------------------------------------------------
 def q_word_count(spark, sf_dir):
     """AG1 over the training corpus."""
-    return dct.word_counts(_p(spark, sf_dir).corpus.train)
+    return _p(spark, sf_dir).word_counts
 
 
 def q_dictionary_topk(spark, sf_dir):

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from termflow import params
 from termflow.operators import evaluate, gd, ml, selection, tf
-from termflow.operators.dictionary import build_dictionary
+from termflow.operators.dictionary import dictionary_from_counts, word_counts
 from termflow.operators.selection import count_documents
 from termflow.session import materialize, right_sized
 from termflow.functions.parse import parse_doc_lines
@@ -72,10 +72,18 @@ class Pipeline:
     _cache: dict = field(default_factory=dict)
 
     # ---- featurisation ---------------------------------------------------------
+    @property
+    def word_counts(self) -> DataFrame:
+        """AG1 over the training corpus, written once to the shared folder:
+        the word-count report and the dictionary share one corpus pass."""
+        if "counts" not in self._cache:
+            self._cache["counts"] = materialize(word_counts(self.corpus.train), self.preset.persist)
+        return self._cache["counts"]
+
     @property
     def dictionary(self) -> DataFrame:
         if "dictionary" not in self._cache:
-            self._cache["dictionary"] = build_dictionary(self.corpus.train, self.preset.k)
+            self._cache["dictionary"] = dictionary_from_counts(self.word_counts, self.preset.k)
         return self._cache["dictionary"]
 
     @property
