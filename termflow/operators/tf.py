@@ -5,10 +5,12 @@ per document and dictionary word present, never K-wide dense rows.
 
 Plan: explode tokens in the scan stage -> broadcast hash join with the
 dictionary (drops out-of-dictionary words, PR7) -> ``groupBy(doc_id, pos)``
-with partial aggregation (a hot document or word is combined map-side) ->
-``sum(n) OVER (PARTITION BY doc_id)`` for the L1 denominator. After the
-aggregation a document has at most K rows, so the window partition per
-document is bounded by K whatever the corpus size.
+with partial aggregation (a hot document or word is combined map-side, and
+the shuffle on (doc_id, pos) spreads even a document id that covers a third
+of the input) -> fixed-count ``repartition(doc_id)`` -> ``sum(n) OVER
+(PARTITION BY doc_id)`` for the L1 denominator. After the aggregation a
+document has at most K rows, so the window partition per document is bounded
+by K whatever the corpus size.
 """
 
 from __future__ import annotations
