@@ -25,7 +25,7 @@ def document_key(lang: Column, doc_id: Column) -> Column:
     return F.concat(F.upper(lang), doc_id.cast("string"))
 
 
-def spread_input(df: DataFrame) -> DataFrame:
+def spread_input(df: DataFrame, cache: bool = False) -> DataFrame:
     """Input parallelism: a scan with fewer splits than the cluster has task
     slots (one small file, one row group) is spread round-robin so that
     tokenisation runs on every core, whatever the key distribution (a hash on
@@ -38,14 +38,19 @@ def spread_input(df: DataFrame) -> DataFrame:
     except Exception:  # sessions without RDD access: leave the scan as it is
         return df
     if splits < slots:
-        return df.repartition(2 * slots)
+        spread = df.repartition(2 * slots)
+        # an input this small is worth keeping spread for the next passes
+        # (train and test sides, token reports) instead of re-reading and
+        # re-shuffling it each time; lost blocks recompute from the scan
+        return spread.cache() if cache else spread
     return df
 
 
 def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id STRING, src_id BIGINT, text STRING) from ``documents``.
     Only the three columns used are read (column pruning at the scan)."""
-    docs = spread_input(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    docs = spread_input(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"),
+                        cache=True)
     return docs.select(
         document_key(F.col("lang"), F.col("doc_id")).alias("doc_id"),
         F.col("doc_id").alias("src_id"),
