@@ -29,7 +29,7 @@ class Preset:
     """Parameters of one run. The defaults mirror the reference (K = 20,000
     words, M = 10,000 features, tolerance 0.1) except the label prefix, which
     names the language of the driver's documents table (``EN`` documents are
-    the positive class, as ``AU`` court cases are in the reference)."""
+    the positive class, as ``AU``-prefixed ids are in the reference)."""
     k: int = params.DICTIONARY_SIZE
     m: int = params.SELECTED_FEATURES
     prefix: str = "EN"
