@@ -123,3 +123,25 @@ def tf_vectors(tf: DataFrame, size: int, prefix: str = params.REFERENCE_LABEL_PR
         label_expr(F.col("doc_id"), prefix).cast("double").alias("label"),
         _sparse_vector_udf()(F.lit(size), F.col("pairs.i"), F.col("pairs.v")).alias("features"),
     )
+
+
+def selected_vectors(tf: DataFrame, selected: DataFrame, m: int,
+                     prefix: str = params.REFERENCE_LABEL_PREFIX) -> DataFrame:
+    """FN14/ML5 for Spark ML: (doc_id, label, features) with the ``m``
+    selected positions renumbered by ``new_pos`` (falling variance, not
+    re-normalised, S19). Every document with a TF row keeps a vector, an
+    all-zero one when none of its words was selected, as when a full row is
+    sliced. Cost is linear in the document's non-zeros (``VectorSlicer`` on
+    sparse vectors searches every selected index per row); the broadcast
+    left join keeps the doc_id partitioning, so the grouping adds no shuffle."""
+    lookup = small_side(selected.select("pos", "new_pos"), m, "selection")
+    joined = tf.join(lookup, "pos", "left")
+    pairs = F.array_sort(F.filter(
+        F.collect_list(F.struct(F.col("new_pos").alias("i"), F.col("tf").alias("v"))),
+        lambda x: x["i"].isNotNull()))
+    grouped = joined.groupBy("doc_id").agg(pairs.alias("pairs"))
+    return grouped.select(
+        "doc_id",
+        label_expr(F.col("doc_id"), prefix).cast("double").alias("label"),
+        _sparse_vector_udf()(F.lit(m), F.col("pairs.i"), F.col("pairs.v")).alias("features"),
+    )

@@ -136,15 +136,13 @@ class Pipeline:
         """(doc_id, label, features) for ``side`` in {train, test} over the
         full dictionary (``full``) or the variance selection (``reduced``).
 
-        Reduced vectors are sliced from the full ones (``VectorSlicer``), as
-        the reference slices each document's full row: a document none of
-        whose words was selected keeps an all-zero vector instead of
-        dropping out."""
+        Reduced vectors keep every document with a TF row, as the reference
+        slices each document's full row: a document none of whose words was
+        selected keeps an all-zero vector instead of dropping out."""
         base = self.tf_train() if side == "train" else self.tf_test()
-        full = tf.tf_vectors(base, self.size, self.preset.prefix)
         if features == "full":
-            return full
-        return selection.slice_vectors(full, self.selected)
+            return tf.tf_vectors(base, self.size, self.preset.prefix)
+        return tf.selected_vectors(base, self.selected, self.m_size, self.preset.prefix)
 
     # ---- gradient descent ------------------------------------------------------
     def gd_model(self, tol: float | None = None) -> gd.GdModel:
@@ -160,6 +158,13 @@ class Pipeline:
         return gd.predict_gd(self.tf_test(), self.gd_model(), self.preset.prefix)
 
     # ---- Spark ML --------------------------------------------------------------
+    def _cached_vectors(self, side: str, features: str) -> DataFrame:
+        """Vectors of one side cached at full parallelism."""
+        key = ("vectors_cached", side, features)
+        if key not in self._cache:
+            self._cache[key] = materialize(self.vectors(side, features), "cache")
+        return self._cache[key]
+
     def ml_vectors(self, features: str) -> tuple[DataFrame, DataFrame, float]:
         """Cached (train, test) vectors for one feature set, shared by the LR
         and SVM runs (EX1/EX2), and the seconds it took to build them."""
@@ -169,13 +174,14 @@ class Pipeline:
             out = []
             for side in ("train", "test"):
                 base = self.tf_train() if side == "train" else self.tf_test()
-                # sparse vector size (the full rows bound the reduced ones): 12 bytes per non-zero (int index + double)
-                # plus a per-document overhead for id, label and array headers
+                # sparse vector size (the full rows bound the reduced ones):
+                # 12 bytes per non-zero (int index + double) plus a per-document
+                # overhead for id, label and array headers
                 approx = 12 * base.count() + 96 * count_documents(base)
-                # build at full parallelism, then merge the cached partitions
-                # (coalescing first would pull the build into fewer tasks too)
-                cached = materialize(self.vectors(side, features), "cache")
-                out.append(right_sized(cached, approx))
+                # built and cached at full parallelism, then the cached
+                # partitions are merged (coalescing first would pull the build
+                # into fewer tasks too)
+                out.append(right_sized(self._cached_vectors(side, features), approx))
             self._cache[key] = (out[0], out[1], time.perf_counter() - t0)
         return self._cache[key]
 

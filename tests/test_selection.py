@@ -54,3 +54,13 @@ def test_vector_slicer_equals_long_form_selection(spark):
             assert v.size == 300 and v == via_long[doc]
         else:
             assert v.numNonzeros() == 0
+
+
+def test_selected_vectors_equal_vector_slicer(spark):
+    from termflow.operators import tf as tfo
+    p = pipeline(spark, SF001, Preset(m=300))
+    full = tfo.tf_vectors(p.tf_test(), p.size, "EN")
+    sliced = {r.doc_id: (r.label, r.features) for r in selection.slice_vectors(full, p.selected).collect()}
+    direct = {r.doc_id: (r.label, r.features)
+              for r in tfo.selected_vectors(p.tf_test(), p.selected, 300, "EN").collect()}
+    assert direct == sliced
