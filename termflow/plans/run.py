@@ -1,8 +1,9 @@
 """Command-line runs over two document-line corpora, the way the reference's
 scripts are submitted:
 
-    spark-submit -m termflow.plans.run gd  TRAIN TEST LR ITERATIONS REG OUT
-    spark-submit -m termflow.plans.run ml  {lr,svm} {full,reduced} TRAIN TEST
+    spark-submit termflow/plans/run.py gd  TRAIN TEST LR ITERATIONS REG OUT
+    spark-submit termflow/plans/run.py ml  {lr,svm} {full,reduced} TRAIN TEST
+    (or: python -m termflow.plans.run ...)
 
 ``gd`` writes the cost history as one CSV part file to OUT and shows the top
 words, the confusion counts, F1 and up to three false positives; ``ml``
@@ -13,6 +14,11 @@ shows the confusion matrix, accuracy, precision / recall / F-measure of class
 from __future__ import annotations
 
 import argparse
+import os
+import sys
+
+if not __package__:  # run as a script (spark-submit path/to/run.py): put the repo root on the path
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 from pyspark.sql import SparkSession
 
