@@ -113,8 +113,16 @@ class Pipeline:
     def tf_test(self) -> DataFrame:
         return self._tf("test")
 
+    def counts(self, side: str) -> tuple[int, int]:
+        """(TF rows, documents with a TF row) of one side, counted once."""
+        key = ("counts", side)
+        if key not in self._cache:
+            base = self.tf_train() if side == "train" else self.tf_test()
+            self._cache[key] = (int(base.count()), count_documents(base))
+        return self._cache[key]
+
     def stats(self) -> DataFrame:
-        return selection.feature_stats(self.tf_train())
+        return selection.feature_stats(self.tf_train(), self.counts("train")[1])
 
     @property
     def selected(self) -> DataFrame:
@@ -173,11 +181,11 @@ class Pipeline:
             t0 = time.perf_counter()
             out = []
             for side in ("train", "test"):
-                base = self.tf_train() if side == "train" else self.tf_test()
                 # sparse vector size (the full rows bound the reduced ones):
                 # 12 bytes per non-zero (int index + double) plus a per-document
                 # overhead for id, label and array headers
-                approx = 12 * base.count() + 96 * count_documents(base)
+                nnz, docs = self.counts(side)
+                approx = 12 * nnz + 96 * docs
                 # built and cached at full parallelism, then the cached
                 # partitions are merged (coalescing first would pull the build
                 # into fewer tasks too)
