@@ -30,6 +30,8 @@ NOTES = {
                                     "weights broadcast; one small shuffle by pos.",
     "GD prediction (ML11)": "groupBy(doc_id) over the checkpointed test TF: no exchange.",
     "ML vectors (FN13)": "collect_list by doc_id without exchange, then the Arrow-batched vector UDF.",
+    "reduced ML vectors (FN14/ML5)": "Broadcast left join with the selection keeps doc_id partitioning; "
+                                     "grouping without exchange; all-zero rows kept.",
     "confusion (AG11)": "One aggregation.",
 }
 
@@ -58,6 +60,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", out: str = "/root/repo/PLANS.md"
         "gradient-descent pass (AG10)": gd_pass,
         "GD prediction (ML11)": p.gd_predictions(),
         "ML vectors (FN13)": tf.tf_vectors(t, k, "EN"),
+        "reduced ML vectors (FN14/ML5)": tf.selected_vectors(t, p.selected, p.m_size, "EN"),
         "confusion (AG11)": evaluate.confusion(p.gd_predictions()),
     }
     parts = ["# Physical plans\n",
