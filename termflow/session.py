@@ -3,7 +3,6 @@ used for checkpoints and written intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -129,8 +128,3 @@ def right_sized(df: DataFrame, approx_bytes: int) -> DataFrame:
     when partitions are tiny; a large input keeps all its partitions."""
     wanted = max(1, -(-approx_bytes // advisory_partition_bytes(df.sparkSession)))
     return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
-
-
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
