@@ -1,5 +1,5 @@
-"""Score document-line files as they arrive (IO2 + PR4 + ML3 + ML11 per
-micro-batch).
+"""Score document-line files as they arrive (IO2 + PR4 + ML3 + ML11, or
+ML17/ML19 for a Spark ML model, per micro-batch).
 
 A file stream of lines is parsed, turned into TF rows with the *training*
 dictionary and scored with fitted gradient-descent weights, exactly like the
@@ -18,16 +18,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from termflow import params
 from termflow.functions.parse import parse_doc_lines
-from termflow.operators import gd, tf
+from termflow.operators import gd, ml, tf
 from termflow.session import scratch_path
 
 
+def score_frame(tf_rows: DataFrame, model, size: int, prefix: str,
+                selected: DataFrame | None = None, m: int | None = None) -> DataFrame:
+    """(doc_id, label, prediction) for TF rows: gradient-descent weights
+    (ML11), or a fitted Spark ML model on the full vectors or, with
+    ``selected``, on the variance-selected ones (ML17/ML19)."""
+    if isinstance(model, gd.GdModel):
+        return gd.predict_gd(tf_rows, model, prefix)
+    if selected is None:
+        vectors = tf.tf_vectors(tf_rows, size, prefix)
+    else:
+        vectors = tf.selected_vectors(tf_rows, selected, m, prefix)
+    return ml.score(model, vectors)
+
+
 def score_lines_stream(spark: SparkSession, source_dir: str, dictionary: DataFrame, size: int,
-                       model: gd.GdModel, sink_dir: str, checkpoint: str | None = None,
+                       model, sink_dir: str, checkpoint: str | None = None,
                        prefix: str = params.REFERENCE_LABEL_PREFIX,
-                       available_now: bool = True, max_files_per_trigger: int | None = None
+                       available_now: bool = True, max_files_per_trigger: int | None = None,
+                       selected: DataFrame | None = None, m: int | None = None
                        ) -> StreamingQuery:
-    """Start the stream; returns the running query (call ``awaitTermination``)."""
+    """Start the stream; returns the running query (call ``awaitTermination``).
+    ``model`` is a ``GdModel`` or a fitted Spark ML classification model
+    (with ``selected``/``m`` when it was trained on selected features)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -35,7 +52,7 @@ def score_lines_stream(spark: SparkSession, source_dir: str, dictionary: DataFra
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         docs = parse_doc_lines(batch, "DROPMALFORMED")
-        preds = gd.predict_gd(tf.tf_long(docs, dictionary, size), model, prefix)
+        preds = score_frame(tf.tf_long(docs, dictionary, size), model, size, prefix, selected, m)
         preds.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 

@@ -24,3 +24,20 @@ def test_stream_scores_like_batch(spark):
     streamed = sorted(tuple(r) for r in got.select("doc_id", "label", "prediction").collect())
     batch = sorted(tuple(r) for r in p.gd_predictions().collect())
     assert streamed == batch
+
+
+def test_stream_scores_spark_ml_model_like_batch(spark):
+    from termflow.operators import ml
+    p = pipeline(spark, SF001)
+    train, _, _ = p.ml_vectors("reduced")
+    model = ml.fit_svc(train)
+    lines = documents_as_lines(spark, SF001).where(F.col("src_id") % 5 == 0).select("value")
+    src = scratch_path(spark, "stream-src-ml")
+    lines.coalesce(2).write.text(src)
+    sink = scratch_path(spark, "stream-sink-ml")
+    q = score_lines_stream(spark, src, p.dictionary, p.size, model, sink, prefix="EN",
+                           selected=p.selected, m=p.m_size)
+    q.awaitTermination(300)
+    streamed = sorted(tuple(r) for r in spark.read.parquet(sink).select("doc_id", "label", "prediction").collect())
+    batch = sorted(tuple(r) for r in ml.score(model, p.ml_vectors("reduced")[1]).collect())
+    assert streamed == batch
