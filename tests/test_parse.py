@@ -60,3 +60,11 @@ def test_parse_property_against_python(spark, parts):
     df = spark.createDataFrame([(v,) for v in lines], "value string")
     got = [tuple(r) for r in parse.parse_doc_lines(df, "DROPMALFORMED").collect()]
     assert got == [py_parse(v) for v in lines]
+
+
+def test_failfast_raises_even_when_doc_id_is_not_read(spark):
+    lines = spark.createDataFrame([(LINES[0],), ("<doc no markers>",)], "value string")
+    with pytest.raises(PySparkException):
+        parse.parse_doc_lines(lines, "FAILFAST").count()
+    with pytest.raises(PySparkException):
+        parse.parse_doc_lines(lines, "FAILFAST").select("text").collect()
