@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from termflow.functions import parse, text
@@ -187,6 +188,30 @@ def q_class_metrics_gd(spark, sf_dir):
     return round_doubles(evaluate.class_metrics(_p(spark, sf_dir).gd_predictions()))
 
 
+def _vector_stats(vectors: DataFrame) -> DataFrame:
+    """Per document: label, stored non-zeros and their sum, read from the ML
+    vectors themselves (``vector_to_array``: at most K values per row)."""
+    arr = vector_to_array(F.col("features"))
+    return round_doubles(vectors.select(
+        "doc_id",
+        F.col("label").cast("int").alias("label"),
+        F.size(F.filter(arr, lambda x: x != 0)).cast("long").alias("nnz"),
+        F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x).alias("tf_sum"),
+    ))
+
+
+def q_vector_stats(spark, sf_dir):
+    """FN13: the training vectors Spark ML fits on, checked entry-wise
+    against the long-form TF."""
+    return _vector_stats(_p(spark, sf_dir).vectors("train", "full"))
+
+
+def q_reduced_vector_stats(spark, sf_dir):
+    """FN14/ML5: reduced training vectors; a document none of whose words
+    was selected keeps an all-zero vector (nnz 0)."""
+    return _vector_stats(_p(spark, sf_dir).vectors("train", "reduced"))
+
+
 def _ml_metrics(kind: str, features: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
         return round_doubles(metrics_frame(spark, [_p(spark, sf_dir).ml_run(kind, features)]))
@@ -251,6 +276,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gd_f1": q_gd_f1,
     "gd_false_positives": q_gd_false_positives,
     "class_metrics_gd": q_class_metrics_gd,
+    "vector_stats": q_vector_stats,
+    "reduced_vector_stats": q_reduced_vector_stats,
     "lr_full_metrics": _ml_metrics("lr", "full"),
     "svm_full_metrics": _ml_metrics("svm", "full"),
     "lr_reduced_metrics": _ml_metrics("lr", "reduced"),

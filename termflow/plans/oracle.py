@@ -221,5 +221,12 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS pr, "
         "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS rc FROM conf)"))
     q["history_sink"] = _with(full, hist)
+    q["vector_stats"] = _with(tf_tr, (
+        f"SELECT doc_id, {_label('doc_id', p.prefix)} AS label, CAST(count(*) AS BIGINT) AS nnz, "
+        f"{_r('sum(tf)')} AS tf_sum FROM tf_train GROUP BY doc_id"))
+    q["reduced_vector_stats"] = _with(sel, (
+        f"SELECT t.doc_id, {_label('t.doc_id', p.prefix)} AS label, CAST(count(s.pos) AS BIGINT) AS nnz, "
+        f"{_r('coalesce(sum(CASE WHEN s.pos IS NOT NULL THEN t.tf END), 0.0)')} AS tf_sum "
+        "FROM tf_train t LEFT JOIN selected s USING (pos) GROUP BY t.doc_id"))
     q["lines_gd_confusion"] = q["gd_confusion"]
     return q
