@@ -65,3 +65,14 @@ def test_doc_partitions_follow_cluster_sizing(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     d = _dict(spark)
     assert tf.tf_long(docs_frame(spark, TRAIN), d, 3, partitions=5).rdd.getNumPartitions() == 5
+
+
+def test_selected_vectors_keep_documents_without_selected_words(spark):
+    from pyspark.ml.linalg import SparseVector
+    d = _dict(spark)  # apple 0, cherry 1, banana 2
+    docs = docs_frame(spark, [("AU9", "banana banana"), ("EN9", "apple banana cherry")])
+    t = tf.tf_long(docs, d, 3)
+    selected = spark.createDataFrame([(0, 1), (1, 0)], "new_pos int, pos int")  # cherry, apple
+    got = {r.doc_id: (r.label, r.features) for r in tf.selected_vectors(t, selected, 2, "AU").collect()}
+    assert got["AU9"] == (1.0, SparseVector(2, {}))                       # kept, all zero
+    assert got["EN9"] == (0.0, SparseVector(2, {0: 1 / 3, 1: 1 / 3}))     # not re-normalised
