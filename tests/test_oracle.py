@@ -1,6 +1,8 @@
 """Every registered query with a DuckDB oracle agrees with it (row count,
 column names, order-insensitive values) on the smallest data folder."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -9,7 +11,8 @@ from tools.compare import TABLES, digest
 
 from conftest import SF001
 
-SQL = E.oracle_sql()
+OWN = {name for name in E.queries() if not re.match(r"op\d+_|pipeline$", name)}
+SQL = {name: sql for name, sql in E.oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +24,7 @@ def con():
 
 
 def test_every_query_is_registered_with_an_oracle_or_is_ml():
-    rows_only = set(E.queries()) - set(SQL)
+    rows_only = OWN - set(SQL)
     assert rows_only == {"lr_full_metrics", "svm_full_metrics", "lr_reduced_metrics",
                          "svm_reduced_metrics", "model_comparison"}
 
