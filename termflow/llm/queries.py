@@ -6,13 +6,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_classifier, quality_rules, warc
+from . import decontaminate, line_dedup, quality_classifier, quality_rules, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and class decisions for every page url."""
+    return url_filter.judge_pages(_table(spark, sf_dir, "pages"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and CRF line labelling over every document."""
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -37,6 +47,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_url_filter": op2_url_filter,
+    "op4_decontaminate": op4_decontaminate,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
@@ -48,7 +60,40 @@ _LINES = """
     FROM documents, LATERAL (SELECT unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i)"""
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+_UP, _LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = (f"list_filter(string_split_regex(translate(coalesce(text, ''), {_UP}, {_LOW}), "
+          r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '')")
+
 ORACLE_SQL = {
+    # The pages hold no canonical links or redirects, so classes are single urls here; the tests
+    # compare propagation with a brute-force version.
+    "op2_url_filter": f"""
+WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), {_UP}, {_LOW}) AS host,
+             regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path FROM r),
+m AS (SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule FROM p)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM m""",
+    "op4_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+g AS (SELECT item_id, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i, w FROM b WHERE len(w) > 0),
+items AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS k, least(len(w), 10) AS n FROM g),
+sizes AS (SELECT DISTINCT n FROM items),
+s AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+h AS (SELECT s.doc_id, s.i, s.n, items.item_id
+      FROM s JOIN items ON array_to_string(s.w[s.i:s.i + s.n - 1], ' ') = items.k AND s.n = items.n),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN l ON d.doc_id = l.doc_id""",
     "op7_line_dedup": f"""
 WITH l AS (
     SELECT doc_id, pos, line,
