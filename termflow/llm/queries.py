@@ -61,8 +61,8 @@ _LINES = """
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 _UP, _LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
-_WORDS = (f"list_filter(string_split_regex(translate(coalesce(text, ''), {_UP}, {_LOW}), "
-          r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '')")
+_WORDS = (f"[x FOR x IN string_split_regex(translate(coalesce(text, ''), {_UP}, {_LOW}), "
+          r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> '']")
 
 ORACLE_SQL = {
     # The pages hold no canonical links or redirects, so classes are single urls here; the tests
