@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, quality_classifier, quality_rules, url_filter, warc
+from . import decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(_table(spark, sf_dir, "pages"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -48,6 +53,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_filter": op2_url_filter,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
@@ -79,6 +85,26 @@ m AS (SELECT *, CASE
     WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule FROM p)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM m""",
+    "op3_jaccard_join": f"""
+WITH RECURSIVE t AS (
+    SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), {_UP}, {_LOW}), '[ \\x09-\\x0D]+') IF x <> ''] AS w
+    FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n, sha256(string_agg(s, chr(10) ORDER BY s)) AS c FROM g GROUP BY doc_id),
+r AS (SELECT c, min(doc_id) AS rep, any_value(n) AS n FROM n GROUP BY c),
+rg AS (SELECT g.doc_id, g.s, r.n FROM g JOIN r ON g.doc_id = r.rep),
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k, any_value(x.n) AS na, any_value(y.n) AS nb
+      FROM rg x JOIN rg y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+l AS (SELECT a, b FROM i WHERE 100 * k >= 80 * (na + nb - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT rep AS a, rep AS b FROM r UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+d AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(low.component_id, t.doc_id) AS component_id,
+       coalesce(d.n_links, 0) AS n_links
+FROM t LEFT JOIN n ON t.doc_id = n.doc_id LEFT JOIN r ON n.c = r.c
+LEFT JOIN low ON r.rep = low.a LEFT JOIN d ON r.rep = d.a""",
     "op4_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
