@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,8 +52,10 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished steps now instead
     of at the driver's next garbage collection, which on an idle driver may be
     half an hour away."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # plans let go in the first round, their shuffles in the second
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def with_columns_only(df: DataFrame, **types: str) -> DataFrame:

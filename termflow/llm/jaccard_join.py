@@ -30,7 +30,7 @@ component has none). Extra columns are ignored.
 Scale: signatures are shuffled once, about a quarter as many as shingles, and
 scanned in order, so no group is held. Groups above ``CELL`` members are cut
 into cells of two blocks for the pairwise step. Sets are fetched only for
-classes that share a signature. Shingles and classes are named by 64-bit
+classes of pairs that pass the sketch. Shingles and classes are named by 64-bit
 hashes.
 """
 
@@ -153,8 +153,8 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 _ROW = pa.schema([("sig", pa.int64()), ("c", pa.int64()), ("n", pa.int32()), ("doc_id", pa.int64()),
-                  ("sketch", pa.binary())])
-_ROW_DDL = "sig long, c long, n int, doc_id long, sketch binary"
+                  ("sketch", pa.binary()), ("tid", pa.int64())])
+_ROW_DDL = "sig long, c long, n int, doc_id long, sketch binary, tid long"
 
 
 def _emit(batches):
@@ -169,7 +169,8 @@ def _emit(batches):
             c = pa.array(keys, pa.int64())
             n = pa.array([len(s) for s in sets], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [c, c, n, ids.slice(lo, hi - lo), pa.array([sketch(s) for s in sets], pa.binary())], schema=_ROW)
+                [c, c, n, ids.slice(lo, hi - lo), pa.array([sketch(s) for s in sets], pa.binary()),
+                 batch.column(2).slice(lo, hi - lo)], schema=_ROW)
             fresh = []
             for k, key in enumerate(keys):
                 if key not in seen:
@@ -180,7 +181,8 @@ def _emit(batches):
                 at = np.array(fresh)[of]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sig.view(np.int64)), c.take(pa.array(at)), n.take(pa.array(at)),
-                     pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary())], schema=_ROW)
+                     pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()), pa.nulls(len(at), pa.int64())],
+                    schema=_ROW)
 
 
 def _shared_only(batches):
@@ -332,27 +334,30 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
 
 
+def _sets_of(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(c, members) of the classes in ``pairs``, each from one document."""
+    wanted = (pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
+              .join(classes.select("c", "head"), "c").select("c", "head.doc_id", "head.tid"))
+    wanted = written(wanted.withColumnRenamed("doc_id", "want_id"), "wanted")
+    return written(source.join(wanted, "tid").where(F.col("doc_id").eqNullSafe(F.col("want_id"))).select("c", "text")
+                   .mapInArrow(_fetch_sets, "c long, members binary").dropDuplicates(["c"]), "sets")
+
+
 def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents (doc_id, n, c), links (a, b) between classes c)."""
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = source.withColumn("tid", F.xxhash64("text"))
     rows = written(source.mapInArrow(_emit, _ROW_DDL).repartition("sig").sortWithinPartitions("sig", "c")
                    .mapInArrow(_shared_only, _ROW_DDL), "signatures")
     release(spark)
-    members = rows.where("sketch is not null").select("doc_id", "n", "c", "sketch")
+    members = rows.where("sketch is not null").select("doc_id", "n", "c", "sketch", "tid")
     shared = rows.where("sketch is null").select("sig", "c", "n")
     degree = shared.groupBy("c").agg(F.count("*").alias("degree"))
-    classes = written(members.groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+    classes = written(members.groupBy("c").agg(F.min(F.struct("doc_id", "tid")).alias("head"), F.first("n").alias("n"),
                                                F.first("sketch").alias("sketch"))
                       .join(degree, "c"), "classes")
 
-    # Sets of all classes that share a signature, each from one of its documents.
-    key = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
-    wanted = classes.select(key(F.col("doc_id")).alias("id"), "c")
-    sets = written(source.select(key(F.col("doc_id")).alias("id"), "text").join(wanted, "id").select("c", "text")
-                   .mapInArrow(_fetch_sets, "c long, members binary").dropDuplicates(["c"]), "sets")
-    release(spark)
-
     # Stars: every member against the one with most groups.
     rich = shared.join(classes.select("c", "degree"), "c")
     hub = written(rich.groupBy("sig").agg(F.max(F.struct("degree", "c", "n")).alias("hub"))
@@ -361,9 +366,10 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     star = (shared.join(hub, "sig").where((F.col("c") != F.col("hub")) & near)
             .select(F.least("c", "hub").alias("a"), F.greatest("c", "hub").alias("b")).distinct())
     side = lambda c, n, s: classes.select(F.col("c").alias(c), F.col("n").alias(n), F.col("sketch").alias(s))
-    likely = (star.join(side("a", "na", "ska"), "a").join(side("b", "nb", "skb"), "b")
-              .select("a", "b", "na", "nb", "ska", "skb").mapInArrow(_sketch_filter, "a long, b long"))
-    links = written(_links(likely, sets), "star-links")
+    likely = written(star.join(side("a", "na", "ska"), "a").join(side("b", "nb", "skb"), "b")
+                     .select("a", "b", "na", "nb", "ska", "skb").mapInArrow(_sketch_filter, "a long, b long"), "stars")
+    links = written(_links(likely, _sets_of(source, classes, likely)), "star-links")
+    release(spark)
 
     # The rest: members of one group that are still in different components.
     component = written(connected_components(links).select(F.col("node").alias("c"), "component"), "star-components")
@@ -377,10 +383,12 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .withColumn("o", F.explode(F.sequence(F.lit(0), blocks_of - 1)))
              .select("sig", F.least("blk", "o").alias("ci"), F.greatest("blk", "o").alias("cj"), "blk", "c", "n", "comp",
                      "sketch"))
-    rest = (cells.repartition("sig", "ci", "cj").sortWithinPartitions("sig", "ci", "cj")
-            .mapInArrow(_cell_pairs, "a long, b long").distinct())
-    more = written(_links(rest, sets), "rest-links")
-    return members.select("doc_id", "n", "c"), links.union(more)
+    rest = written(cells.repartition("sig", "ci", "cj").sortWithinPartitions("sig", "ci", "cj")
+                   .mapInArrow(_cell_pairs, "a long, b long").distinct(), "rest")
+    release(spark)
+    if not rest.isEmpty():
+        links = links.union(written(_links(rest, _sets_of(source, classes, rest)), "rest-links"))
+    return members.select("doc_id", "n", "c"), links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
