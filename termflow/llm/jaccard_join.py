@@ -16,7 +16,7 @@ Candidates are verified in two steps, each complete. First every signature
 group is tested as a star around its member with most groups; verified links
 are joined to components, so a group of a thousand copies costs a thousand
 tests. Then members of a group that are still in different components are
-compared with each other by parity sketches: a bit for each of about n buckets
+compared with each other by parity sketches: a bit for each of 4 n buckets or more
 holds the parity of the shingles in it, and the number of bits that differ is
 at most the number of shingles that do, so a pair over the bound is no link.
 Pairs that pass are tested on their whole sets.
@@ -49,6 +49,8 @@ from .common import connected_components, release, written
 
 #: Fixed by the query's contract: words of a shingle, least similarity in percent.
 SHINGLE, PERCENT = 5, 80
+#: Sketch buckets for each member of a set: more let fewer pairs pass.
+WIDTH = 4
 #: Ratio of a band's largest to its smallest set, signing levels, and members
 #: of a signature group that one cell compares pairwise.
 RATIO, LEVELS, CELL = 1.5625, 4, 2_000
@@ -98,8 +100,8 @@ def class_key(s: np.ndarray) -> int:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parity of the set's members in each of 2**j >= n hash buckets."""
-    width = max(64, 1 << int(max(len(s) - 1, 0)).bit_length())
+    """Parity of the set's members in each of 2**j >= WIDTH * n hash buckets."""
+    width = max(64, 1 << int(max(WIDTH * len(s) - 1, 0)).bit_length())
     bucket = (mix(s ^ _U(0xA5A5A5A5)) & _U(width - 1)).astype(np.int64)
     return np.packbits(np.bincount(bucket, minlength=width).astype(np.uint8) & 1).tobytes()
 
@@ -339,7 +341,8 @@ def _sets_of(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
     wanted = (pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
               .join(classes.select("c", "head"), "c").select("c", "head.doc_id", "head.tid"))
     wanted = written(wanted.withColumnRenamed("doc_id", "want_id"), "wanted")
-    return written(source.join(wanted, "tid").where(F.col("doc_id").eqNullSafe(F.col("want_id"))).select("c", "text")
+    # Merged at any size: which side is small must not change the plan as the corpus grows.
+    return written(source.join(wanted.hint("merge"), "tid").where(F.col("doc_id").eqNullSafe(F.col("want_id"))).select("c", "text")
                    .mapInArrow(_fetch_sets, "c long, members binary").dropDuplicates(["c"]), "sets")
 
 
