@@ -6,13 +6,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, url_filter, warc
+from . import (bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup,
+               url_filter, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """Path of the word vocabulary; only the driver reads it."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kind = lambda x: F.substring_index(x, ":", 1)
+    count = lambda name: F.size(F.filter("found", lambda x: kind(x) == name)).cast("long").alias(f"n_{name}")
+    base = F.filter("found", lambda x: kind(x).isin(*secret_scan.BASE))
+    return found.select("doc_id", *[count(name) for name in secret_scan.BASE],
+                        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join("found", ",").alias("spans"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and class decisions for every page url."""
     return url_filter.judge_pages(_table(spark, sf_dir, "pages"))
@@ -33,6 +50,19 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def digest_tokens(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``docs``, encoded and
+    decoded again."""
+    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary()).drop("text")
+    return bpe.decode(encoded, vocabulary()).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    return digest_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in 10 documents or more, dropped everywhere."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,18 +76,27 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 200 bytes that occur twice, removed from every document."""
+    kept = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by boosted trees."""
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_url_filter": op2_url_filter,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality_rules": op5_quality_rules,
+    "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
