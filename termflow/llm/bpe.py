@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 
 from .common import append_columns
 
-LONG_WORD, CACHE = 48, 400_000
+LONG_WORD, CACHE = 48, 250_000
 #: Fixed values of the vocabulary file's normaliser and splitter.
 PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{blanks}{letters}{numbers}]+"
 SUFFIX = "</w>"

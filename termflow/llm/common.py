@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a step on whole texts holds results for at a time.
+ROWS_AT_ONCE = 1_000
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -126,8 +128,10 @@ def append_columns(df: DataFrame, source: str, compute, added: list[tuple[str, s
     passed, named = len(kept), [f"c{k}" for k in range(len(kept))] + [f"n{k}" for k in range(len(added))]
 
     def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:passed], *compute(batch.column(passed))], named)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(lo, ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:passed], *compute(batch.column(passed))], named)
 
     fields = [StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(kept)]
     extra = StructType.fromDDL(", ".join(f"n{k} {kind}" for k, (_, kind) in enumerate(added)))
