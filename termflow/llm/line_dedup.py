@@ -53,11 +53,11 @@ def line_occurrences(docs: DataFrame, text: str = "text", min_chars: int = 1) ->
 def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text") -> DataFrame:
     """``docs`` with kept_text, n_lines (before) and n_dropped."""
     occurrences = written(line_occurrences(docs, text, min_chars), "line-occurrences")
-    # Written, so that the join below is between plain exchanges, which adaptive execution may split.
+    # Written, so that the joins below are between plain exchanges, which adaptive execution may split.
     common = written(occurrences.groupBy("kh").agg(F.sum("docs").alias("docs"))
                      .where(F.col("docs") >= min_docs).select("kh"), "common-lines")
-    drops = (occurrences.join(common, "kh").groupBy("tid")
-             .agg(F.flatten(F.collect_list("at")).alias("__drop")).withColumnRenamed("tid", "__tid"))
+    drops = written(occurrences.join(common, "kh").groupBy("tid")
+                    .agg(F.flatten(F.collect_list("at")).alias("__drop")).withColumnRenamed("tid", "__tid"), "drops")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     joined = (docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULT], _hash(body).alias("__tid"))
               .join(drops, "__tid", "left"))
