@@ -49,6 +49,21 @@ class GdModel:
     def iterations_applied(self) -> int:
         return len(self.history)
 
+    def advance(self, data_gradient: np.ndarray, data_cost: float, learning_rate: float, reg: float,
+                tol: float) -> None:
+        """One descent step on the ridge objective (FN10-FN12, ML7-ML9): the
+        penalty ``reg * |w|^2`` joins cost and gradient of the data at the
+        current weights. A step no longer than ``tol`` ends the descent and is
+        not taken; any other is taken and recorded."""
+        penalty = reg * float(self.weights @ self.weights)
+        step = -learning_rate * (data_gradient + 2.0 * reg * self.weights)
+        length = math.sqrt(float(step @ step))
+        if length <= tol:
+            self.stopped, self.stopped_at = True, self.iterations_applied
+            return
+        self.history.append((self.iterations_applied, data_cost + penalty, length))
+        self.weights = self.weights + step
+
 
 def weights_frame(spark: SparkSession, weights: np.ndarray, nonzero_only: bool = False) -> DataFrame:
     """(pos, weight) rows from the driver-side vector (at most K rows)."""
@@ -101,23 +116,13 @@ def fit_gd(tf: DataFrame, size: int, learning_rate: float, iterations: int, reg:
     """ML6-ML9: run gradient descent over the TF rows of ``size`` positions."""
     spark = tf.sparkSession
     data = materialize(labelled_tf(tf, prefix), mode, keep_partitioning=True)
-    r = np.zeros(size)
-    model = GdModel(weights=r)
+    model = GdModel(weights=np.zeros(size))
     try:
-        for i in range(iterations):
-            grad, cost_docs = gradient_pass(spark, data, r)
-            cost = cost_docs + reg * float(np.sum(r ** 2))          # FN10
-            new_r = r - (grad + 2.0 * reg * r) * learning_rate      # FN11, ML7
-            l2 = float(np.linalg.norm(new_r - r, ord=2))            # FN12
-            if l2 <= tol:                                           # ML8
-                model.stopped, model.stopped_at = True, i
-                break
-            r = new_r
-            model.history.append((i, float(cost), l2))              # ML9
+        while len(model.history) < iterations and not model.stopped:
+            model.advance(*gradient_pass(spark, data, model.weights), learning_rate, reg, tol)
     finally:
         if mode == "cache":
             data.unpersist()
-    model.weights = r
     return model
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from termflow.functions import parse, text
 from termflow.operators import evaluate, gd, tf
-from termflow.plans.classify import (Preset, metrics_frame, pipeline, pipeline_from_lines,
+from termflow.plans.classify import (DOCUMENTS_PREFIX, Preset, metrics_frame, pipeline, pipeline_from_lines,
                                      round_doubles)
 from termflow.session import scratch_path
 from termflow.sources import sinks
@@ -19,7 +19,9 @@ from termflow.sources.corpus import (documents_as_lines, read_doc_lines, read_ta
                                      write_doc_lines)
 
 # Presets of the registered queries (see FIXTURES.md).
-MAIN = Preset()
+MAIN = Preset(prefix=DOCUMENTS_PREFIX)
+HARD = Preset(k=200, prefix="EN5", learning_rate=2.0, iterations=5)  # all four outcomes occur
+NO_TRUE_POSITIVE = Preset(prefix="EN5")                              # S15: F1 without a true positive
 DROPPED_K = 10                 # S8: a dictionary so small that documents drop out
 SHORT_VOCAB_K = 1_000_000      # S6: K larger than the training vocabulary
 CONVERGE_TOL = 5.0             # S12: tolerance reached within the iterations
@@ -188,6 +190,20 @@ def q_class_metrics_gd(spark, sf_dir):
     return round_doubles(evaluate.class_metrics(_p(spark, sf_dir).gd_predictions()))
 
 
+def _reports(preset: Preset, suffix: str) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The prediction reports of another preset, whose classifier makes errors."""
+    predictions = lambda spark, sf_dir: _p(spark, sf_dir, preset).gd_predictions()
+    return {
+        f"gd_outcomes{suffix}": lambda spark, d: evaluate.outcomes(predictions(spark, d)),
+        f"gd_confusion{suffix}": lambda spark, d: evaluate.confusion(predictions(spark, d)),
+        f"gd_confusion_matrix{suffix}": lambda spark, d: evaluate.confusion_matrix(predictions(spark, d)),
+        f"gd_f1{suffix}": lambda spark, d: round_doubles(evaluate.f1_report(evaluate.confusion(predictions(spark, d)))),
+        f"gd_false_positives{suffix}": lambda spark, d: evaluate.false_positives(
+            predictions(spark, d), _p(spark, d, preset).corpus.test),
+        f"class_metrics_gd{suffix}": lambda spark, d: round_doubles(evaluate.class_metrics(predictions(spark, d))),
+    }
+
+
 def _vector_stats(vectors: DataFrame) -> DataFrame:
     """Per document: label, stored non-zeros and their sum, read from the ML
     vectors themselves (``vector_to_array``: at most K values per row)."""
@@ -285,4 +301,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_comparison": q_model_comparison,
     "history_sink": q_history_sink,
     "lines_gd_confusion": q_lines_gd_confusion,
+    **_reports(HARD, "_hard"),
+    **{name: q for name, q in _reports(NO_TRUE_POSITIVE, "_zero").items() if "false_positives" not in name},
 }

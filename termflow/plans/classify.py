@@ -19,20 +19,22 @@ from termflow import params
 from termflow.operators import evaluate, gd, ml, selection, tf
 from termflow.operators.dictionary import dictionary_from_counts, word_counts
 from termflow.operators.selection import count_documents
-from termflow.session import materialize, right_sized
+from termflow.session import materialize
 from termflow.functions.parse import parse_doc_lines
 from termflow.sources.corpus import documents_corpus, read_doc_lines, split_corpus
 
 
+#: Label-1 prefix of the documents table as a corpus (FIXTURES.md): English documents.
+DOCUMENTS_PREFIX = "EN"
+
+
 @dataclass(frozen=True)
 class Preset:
     """Parameters of one run. The defaults mirror the reference (K = 20,000
-    words, M = 10,000 features, tolerance 0.1) except the label prefix, which
-    names the language of the driver's documents table (``EN`` documents are
-    the positive class, as ``AU``-prefixed ids are in the reference)."""
+    words, M = 10,000 features, tolerance 0.1, label prefix ``AU``)."""
     k: int = params.DICTIONARY_SIZE
     m: int = params.SELECTED_FEATURES
-    prefix: str = "EN"
+    prefix: str = params.REFERENCE_LABEL_PREFIX
     test_every: int = 5
     learning_rate: float = 0.5
     iterations: int = 3
@@ -181,15 +183,7 @@ class Pipeline:
             t0 = time.perf_counter()
             out = []
             for side in ("train", "test"):
-                # sparse vector size (the full rows bound the reduced ones):
-                # 12 bytes per non-zero (int index + double) plus a per-document
-                # overhead for id, label and array headers
-                nnz, docs = self.counts(side)
-                approx = 12 * nnz + 96 * docs
-                # built and cached at full parallelism, then the cached
-                # partitions are merged (coalescing first would pull the build
-                # into fewer tasks too)
-                out.append(right_sized(self._cached_vectors(side, features), approx))
+                out.append(self._cached_vectors(side, features))
             self._cache[key] = (out[0], out[1], time.perf_counter() - t0)
         return self._cache[key]
 
@@ -241,7 +235,7 @@ _PIPELINES: dict = {}
 def pipeline(spark: SparkSession, sf_dir: str, preset: Preset | None = None) -> Pipeline:
     """Memoised per (application, data folder, preset) so that the registered
     queries share one fitted dictionary, selection and set of models."""
-    preset = preset or Preset()
+    preset = preset or Preset(prefix=DOCUMENTS_PREFIX)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), preset)
     if key not in _PIPELINES:
         _PIPELINES[key] = Pipeline(spark, load_corpus(spark, sf_dir, preset), preset)

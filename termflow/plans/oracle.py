@@ -8,7 +8,7 @@ to 6 decimals on both sides (summation order differs between engines), and
 
 from __future__ import annotations
 
-from termflow.plans.catalog import CONVERGE_TOL, DROPPED_K, MAIN, SHORT_VOCAB_K
+from termflow.plans.catalog import CONVERGE_TOL, DROPPED_K, HARD, MAIN, NO_TRUE_POSITIVE, SHORT_VOCAB_K
 from termflow.plans.classify import Preset
 
 
@@ -194,32 +194,34 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT row_number() OVER (ORDER BY w.w DESC, w.pos) AS rank, w.pos, d.word, w.w "
         "FROM final_w w JOIN dict d USING (pos)) WHERE rank <= 5"))
     q["gd_predict"] = _with(full, "SELECT doc_id, label, prediction FROM pred")
-    q["gd_outcomes"] = _with(full, (
-        "SELECT doc_id, label, CASE WHEN label = 1 AND prediction = 1 THEN 'TP' "
-        "WHEN label = 1 AND prediction = 0 THEN 'FN' WHEN label = 0 AND prediction = 1 THEN 'FP' "
-        "ELSE 'TN' END AS outcome FROM pred"))
-    q["gd_confusion"] = _with(full + [_conf()], "SELECT p, n, tp, fn, fp, tn FROM conf")
-    q["gd_confusion_matrix"] = _with(full, (
-        "SELECT label, CAST(sum(CASE WHEN prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS pred_0, "
-        "CAST(sum(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pred_1 "
-        "FROM pred GROUP BY label"))
-    prec = "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END"
-    rec = "CASE WHEN p > 0 THEN CAST(tp AS DOUBLE) / p END"
-    q["gd_f1"] = _with(full + [_conf()], (
-        f"SELECT {_r('precision')} AS precision, {_r('recall')} AS recall, "
-        f"{_r('CASE WHEN tp > 0 THEN 2.0 * precision * recall / (precision + recall) END')} AS f1 "
-        f"FROM (SELECT tp, {prec} AS precision, {rec} AS recall FROM conf)"))
-    q["gd_false_positives"] = _with(full, (
-        "SELECT doc_id, text FROM test WHERE doc_id IN "
-        "(SELECT doc_id FROM pred WHERE label = 0 AND prediction = 1) ORDER BY doc_id LIMIT 3"))
-    q["class_metrics_gd"] = _with(full + [_conf()], (
-        "SELECT tn, fp, fn, tp, "
-        f"{_r('CASE WHEN tp + tn + fp + fn > 0 THEN CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) ELSE 0.0 END')} AS accuracy, "
-        f"{_r('pr')} AS precision, {_r('rc')} AS recall, "
-        f"{_r('CASE WHEN pr + rc > 0 THEN 2.0 * pr * rc / (pr + rc) ELSE 0.0 END')} AS f_measure "
-        "FROM (SELECT tn, fp, fn, tp, "
-        "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS pr, "
-        "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS rc FROM conf)"))
+    for suffix, preset in (("", p), ("_hard", HARD), ("_zero", NO_TRUE_POSITIVE)):
+        model = full if preset is p else _full(preset)
+        q["gd_outcomes" + suffix] = _with(model, (
+            "SELECT doc_id, label, CASE WHEN label = 1 AND prediction = 1 THEN 'TP' "
+            "WHEN label = 1 AND prediction = 0 THEN 'FN' WHEN label = 0 AND prediction = 1 THEN 'FP' "
+            "ELSE 'TN' END AS outcome FROM pred"))
+        q["gd_confusion" + suffix] = _with(model + [_conf()], "SELECT p, n, tp, fn, fp, tn FROM conf")
+        q["gd_confusion_matrix" + suffix] = _with(model, (
+            "SELECT label, CAST(sum(CASE WHEN prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS pred_0, "
+            "CAST(sum(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pred_1 "
+            "FROM pred GROUP BY label"))
+        prec = "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END"
+        rec = "CASE WHEN p > 0 THEN CAST(tp AS DOUBLE) / p END"
+        q["gd_f1" + suffix] = _with(model + [_conf()], (
+            f"SELECT {_r('precision')} AS precision, {_r('recall')} AS recall, "
+            f"{_r('CASE WHEN tp > 0 THEN 2.0 * precision * recall / (precision + recall) END')} AS f1 "
+            f"FROM (SELECT tp, {prec} AS precision, {rec} AS recall FROM conf)"))
+        q["gd_false_positives" + suffix] = _with(model, (
+            "SELECT doc_id, text FROM test WHERE doc_id IN (SELECT DISTINCT doc_id FROM pred "
+            "WHERE label = 0 AND prediction = 1 ORDER BY doc_id LIMIT 3)"))
+        q["class_metrics_gd" + suffix] = _with(model + [_conf()], (
+            "SELECT tn, fp, fn, tp, "
+            f"{_r('CASE WHEN tp + tn + fp + fn > 0 THEN CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) ELSE 0.0 END')} AS accuracy, "
+            f"{_r('pr')} AS precision, {_r('rc')} AS recall, "
+            f"{_r('CASE WHEN pr + rc > 0 THEN 2.0 * pr * rc / (pr + rc) ELSE 0.0 END')} AS f_measure "
+            "FROM (SELECT tn, fp, fn, tp, "
+            "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS pr, "
+            "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS rc FROM conf)"))
     q["history_sink"] = _with(full, hist)
     q["vector_stats"] = _with(tf_tr, (
         f"SELECT doc_id, {_label('doc_id', p.prefix)} AS label, CAST(count(*) AS BIGINT) AS nnz, "
@@ -229,4 +231,5 @@ def oracle_sql() -> dict[str, str]:
         f"{_r('coalesce(sum(CASE WHEN s.pos IS NOT NULL THEN t.tf END), 0.0)')} AS tf_sum "
         "FROM tf_train t LEFT JOIN selected s USING (pos) GROUP BY t.doc_id"))
     q["lines_gd_confusion"] = q["gd_confusion"]
+    del q["gd_false_positives_zero"]  # that preset predicts no positives
     return q

@@ -6,7 +6,7 @@ scripts are submitted:
     (or: python -m termflow.plans.run ...)
 
 ``gd`` writes the cost history as one CSV part file to OUT and shows the top
-words, the confusion counts, F1 and up to three false positives; ``ml``
+words, the confusion counts, F1 and the texts of up to three false-positive ids; ``ml``
 shows the confusion matrix, accuracy, precision / recall / F-measure of class
 1 and the phase times. Reports are DataFrames; ``show`` prints them.
 """
@@ -25,6 +25,7 @@ from pyspark.sql import SparkSession
 from termflow import params
 from termflow.operators import evaluate, gd
 from termflow.plans.classify import Preset, metrics_frame, pipeline_from_lines
+from termflow.session import materialize
 from termflow.sources import sinks
 
 
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         model = p.gd_model()
         history = sinks.history_frame(spark, model.history)
         sinks.write_single_file(history, args.out)
-        preds = p.gd_predictions()
+        preds = materialize(p.gd_predictions())
         conf = evaluate.confusion(preds)
         out = {"history": history, "top_words": gd.top_words(spark, model, p.dictionary),
                "confusion": conf, "f1": evaluate.f1_report(conf),
@@ -74,7 +75,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"metrics": metrics_frame(spark, [p.ml_run(args.model, args.features)], with_timing=True)}
     for name, df in out.items():
         print(f"== {name}")
-        df.show(truncate=120)
+        df.show(max(df.count(), 1), truncate=False)  # whole reports and whole texts
     return out
 
 

@@ -38,8 +38,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
     Only when it is unset (tests, local runs) is one chosen here: a fresh
-    temporary folder in local mode, otherwise a folder under the warehouse
-    directory, which a cluster keeps on shared storage."""
+    temporary folder in local mode. On a cluster a missing setting is an error:
+    executors and driver share no other folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -49,8 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.master.startswith("local"):
             configured = tempfile.mkdtemp(prefix="termflow-ckpt-")
         else:
-            warehouse = spark.conf.get("spark.sql.warehouse.dir")
-            configured = warehouse.rstrip("/") + "/_termflow_checkpoints"
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -106,25 +105,3 @@ def _materialize(df: DataFrame, mode: str) -> DataFrame:
     df = df.cache()
     df.count()
     return df
-
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def advisory_partition_bytes(spark: SparkSession) -> int:
-    """The partition size AQE aims for when it coalesces shuffles."""
-    raw = (spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
-           or spark.conf.get("spark.sql.adaptive.shuffle.targetPostShuffleInputSize", None) or "64m")
-    raw = raw.strip().lower()
-    digits = raw.rstrip("abcdefghijklmnopqrstuvwxyz")
-    return int(float(digits) * _UNITS[raw[len(digits):]])
-
-
-def right_sized(df: DataFrame, approx_bytes: int) -> DataFrame:
-    """Merge partitions (narrow ``coalesce``, no shuffle) down to about one per
-    advisory partition size, the rule AQE applies to shuffle output. For data
-    an iterative fit scans many times, per-task overhead otherwise dominates
-    when partitions are tiny; a large input keeps all its partitions."""
-    wanted = max(1, -(-approx_bytes // advisory_partition_bytes(df.sparkSession)))
-    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df

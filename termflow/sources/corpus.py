@@ -90,9 +90,10 @@ def write_doc_lines(lines: DataFrame, path: str) -> None:
 
 def split_corpus(docs: DataFrame, test_every: int = 5) -> tuple[DataFrame, DataFrame]:
     """Train / test split of one table: a document goes to the test side iff
-    ``src_id % test_every == 0``. Every row lands on exactly one side; the
-    reference instead receives two separate corpora."""
-    is_test = (F.col("src_id") % F.lit(test_every)) == 0
+    ``src_id % test_every == 0``; a row without an id is a training row. Every
+    row lands on exactly one side; the reference instead receives two separate
+    corpora."""
+    is_test = F.coalesce((F.col("src_id") % F.lit(test_every)) == 0, F.lit(False))
     train = docs.where(~is_test).select("doc_id", "text")
     test = docs.where(is_test).select("doc_id", "text")
     return train, test

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from termflow import params
-from termflow.functions.parse import parse_doc_lines
+from termflow.functions.parse import malformed_counts, parse_doc_lines
 from termflow.operators import gd, ml, tf
 from termflow.session import scratch_path
 
@@ -40,18 +40,25 @@ def score_lines_stream(spark: SparkSession, source_dir: str, dictionary: DataFra
                        model, sink_dir: str, checkpoint: str | None = None,
                        prefix: str = params.REFERENCE_LABEL_PREFIX,
                        available_now: bool = True, max_files_per_trigger: int | None = None,
-                       selected: DataFrame | None = None, m: int | None = None
-                       ) -> StreamingQuery:
+                       selected: DataFrame | None = None, m: int | None = None,
+                       parse_mode: str = "FAILFAST") -> StreamingQuery:
     """Start the stream; returns the running query (call ``awaitTermination``).
     ``model`` is a ``GdModel`` or a fitted Spark ML classification model
-    (with ``selected``/``m`` when it was trained on selected features)."""
+    (with ``selected``/``m`` when it was trained on selected features).
+
+    A malformed line fails the stream, as it fails a batch run. With
+    ``parse_mode="DROPMALFORMED"`` it is left out and counted: every batch
+    writes (n_ok, n_bad) to ``{sink_dir}_malformed/batch_id=N``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(source_dir)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        docs = parse_doc_lines(batch, "DROPMALFORMED")
+        docs = parse_doc_lines(batch, parse_mode)
+        if parse_mode == "DROPMALFORMED":
+            malformed_counts(batch).write.mode("overwrite").parquet(
+                f"{sink_dir.rstrip('/')}_malformed/batch_id={batch_id}")
         preds = score_frame(tf.tf_long(docs, dictionary, size), model, size, prefix, selected, m)
         preds.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{sink_dir.rstrip('/')}/batch_id={batch_id}")

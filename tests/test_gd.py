@@ -52,7 +52,7 @@ def dense_tf(p):
 
 @pytest.mark.parametrize("lr,iters,reg,tol", [(0.5, 4, 0.001, 0.1), (0.05, 3, 0.0, 0.1), (0.5, 5, 0.01, 5.0)])
 def test_gd_matches_dense_brute_force(spark, lr, iters, reg, tol):
-    p = pipeline(spark, SF001, Preset(k=2000))
+    p = pipeline(spark, SF001, Preset(prefix="EN", k=2000))
     x, y = dense_tf(p)
     want_r, want_hist, want_stop = brute_force_gd(x, y, lr, iters, reg, tol)
     m = gd.fit_gd(p.tf_train(), p.size, lr, iters, reg, tol, p.preset.prefix)
@@ -64,7 +64,7 @@ def test_gd_matches_dense_brute_force(spark, lr, iters, reg, tol):
 
 
 def test_convergence_at_first_iteration_applies_nothing(spark):
-    p = pipeline(spark, SF001, Preset(k=500))
+    p = pipeline(spark, SF001, Preset(prefix="EN", k=500))
     m = gd.fit_gd(p.tf_train(), p.size, 1e-6, 5, 0.0, 0.1, "EN")
     assert m.stopped and m.stopped_at == 0 and m.iterations_applied == 0
     assert not m.weights.any()

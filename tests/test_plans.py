@@ -56,7 +56,7 @@ def test_per_document_work_on_checkpointed_tf_needs_no_shuffle(spark):
     doc_id partitioning, so the GD window, the vector grouping and the
     distinct count over documents plan without a doc_id exchange."""
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    p = pipeline(spark, SF001, Preset(k=3000))
+    p = pipeline(spark, SF001, Preset(prefix="EN", k=3000))
     t = p.tf_train()
     data = materialize(gd.labelled_tf(t, "EN"), "cache", keep_partitioning=True)
     rows = gd._scores(spark, data, np.ones(p.size))

@@ -15,7 +15,7 @@ def dense(rows, n_docs_ids, size, col="pos"):
 
 
 def test_stats_and_selection_match_dense_numpy(spark):
-    p = pipeline(spark, SF001, Preset(m=300))
+    p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
     rows = p.tf_train().collect()
     docs = {r.doc_id for r in rows}
     x, _ = dense(rows, docs, p.size)
@@ -32,7 +32,7 @@ def test_stats_and_selection_match_dense_numpy(spark):
 
 
 def test_apply_selection_keeps_training_order_unnormalised(spark):
-    p = pipeline(spark, SF001, Preset(m=300))
+    p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
     sel = {r.pos: r.new_pos for r in p.selected.collect()}
     full = {(r.doc_id, r.pos): r.tf for r in p.tf_test().collect()}
     red = {(r.doc_id, r.new_pos): r.tf for r in p.tf_reduced("test").collect()}
@@ -42,7 +42,7 @@ def test_apply_selection_keeps_training_order_unnormalised(spark):
 
 def test_vector_slicer_equals_long_form_selection(spark):
     from termflow.operators import tf as tfo
-    p = pipeline(spark, SF001, Preset(m=300))
+    p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
     full = tfo.tf_vectors(p.tf_test(), p.size, "EN")
     sliced = {r.doc_id: r.features for r in selection.slice_vectors(full, p.selected).collect()}
     via_long = {r.doc_id: r.features for r in
@@ -58,7 +58,7 @@ def test_vector_slicer_equals_long_form_selection(spark):
 
 def test_selected_vectors_equal_vector_slicer(spark):
     from termflow.operators import tf as tfo
-    p = pipeline(spark, SF001, Preset(m=300))
+    p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
     full = tfo.tf_vectors(p.tf_test(), p.size, "EN")
     sliced = {r.doc_id: (r.label, r.features) for r in selection.slice_vectors(full, p.selected).collect()}
     direct = {r.doc_id: (r.label, r.features)

@@ -1,7 +1,4 @@
-from pyspark.sql import functions as F
-
-from termflow.session import (advisory_partition_bytes, checkpoint_dir, materialize, right_sized,
-                              scratch_path)
+from termflow.session import checkpoint_dir, scratch_path
 from termflow.sources.corpus import read_table, spread_input
 
 from conftest import SF001
@@ -23,11 +20,3 @@ def test_small_scan_is_spread_round_robin(spark):
     assert max(sizes) - min(sizes) <= 1            # round-robin: even whatever the ids
     big = spark.range(0, 100, numPartitions=4 * slots)
     assert spread_input(big) is big                 # enough splits: left alone
-
-
-def test_right_sized_and_advisory_size(spark):
-    assert advisory_partition_bytes(spark) == 64 * 1024 * 1024
-    df = materialize(spark.range(0, 1000, numPartitions=8).withColumn("x", F.lit(1)), "cache")
-    assert right_sized(df, 1000 * 16).rdd.getNumPartitions() == 1
-    assert right_sized(df, 10 * advisory_partition_bytes(spark)).rdd.getNumPartitions() == 8
-    df.unpersist()

@@ -41,3 +41,20 @@ def test_stream_scores_spark_ml_model_like_batch(spark):
     streamed = sorted(tuple(r) for r in spark.read.parquet(sink).select("doc_id", "label", "prediction").collect())
     batch = sorted(tuple(r) for r in ml.score(model, p.ml_vectors("reduced")[1]).collect())
     assert streamed == batch
+
+
+def test_malformed_lines_fail_the_stream_or_are_counted(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    p = pipeline(spark, SF001)
+    src = scratch_path(spark, "stream-src-bad")
+    spark.createDataFrame([('<doc id="EN1" url="u" title="t">the the end</doc>',), ("no markers",)], "value string"
+                          ).coalesce(1).write.text(src)
+    q = score_lines_stream(spark, src, p.dictionary, p.size, p.gd_model(), scratch_path(spark, "s"), prefix="EN")
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(300)
+    sink = scratch_path(spark, "s")
+    score_lines_stream(spark, src, p.dictionary, p.size, p.gd_model(), sink, prefix="EN",
+                       parse_mode="DROPMALFORMED").awaitTermination(300)
+    assert spark.read.parquet(sink).count() == 1
+    assert tuple(spark.read.parquet(sink + "_malformed").select("n_ok", "n_bad").first()) == (1, 1)
