@@ -25,32 +25,11 @@ def document_key(lang: Column, doc_id: Column) -> Column:
     return F.concat(F.upper(lang), doc_id.cast("string"))
 
 
-def spread_input(df: DataFrame, cache: bool = False) -> DataFrame:
-    """Input parallelism: a scan with fewer splits than the cluster has task
-    slots (one small file, one row group) is spread round-robin so that
-    tokenisation runs on every core, whatever the key distribution (a hash on
-    the id would put a document id repeated across a third of the rows into
-    one task). A large corpus already has far more splits than slots and is
-    left alone, so the raw text is never shuffled at scale."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as it is
-        return df
-    if splits < slots:
-        spread = df.repartition(2 * slots)
-        # an input this small is worth keeping spread for the next passes
-        # (train and test sides, token reports) instead of re-reading and
-        # re-shuffling it each time; lost blocks recompute from the scan
-        return spread.cache() if cache else spread
-    return df
-
-
 def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id STRING, src_id BIGINT, text STRING) from ``documents``.
-    Only the three columns used are read (column pruning at the scan)."""
-    docs = spread_input(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"),
-                        cache=True)
+    Only the three columns used are read (column pruning at the scan), in the
+    splits of ``spark.sql.files.maxPartitionBytes``."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return docs.select(
         document_key(F.col("lang"), F.col("doc_id")).alias("doc_id"),
         F.col("doc_id").alias("src_id"),
@@ -79,8 +58,9 @@ def documents_as_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_doc_lines(spark: SparkSession, path: str) -> DataFrame:
     """IO1/IO2: one row per line, column ``value``. Files are split by size,
-    unlike the reference's single-partition ``textFile(path, 1)``."""
-    return spread_input(spark.read.text(path))
+    unlike the reference's single-partition ``textFile(path, 1)``; how finely
+    is the session's ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.text(path)
 
 
 def write_doc_lines(lines: DataFrame, path: str) -> None:

@@ -1,7 +1,4 @@
 from termflow.session import checkpoint_dir, scratch_path
-from termflow.sources.corpus import read_table, spread_input
-
-from conftest import SF001
 
 
 def test_checkpoint_dir_is_set_and_scratch_paths_are_fresh(spark):
@@ -9,14 +6,3 @@ def test_checkpoint_dir_is_set_and_scratch_paths_are_fresh(spark):
     assert d and spark.sparkContext.getCheckpointDir()
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(d.rstrip("/"))
-
-
-def test_small_scan_is_spread_round_robin(spark):
-    docs = read_table(spark, SF001, "documents")
-    slots = spark.sparkContext.defaultParallelism
-    spread = spread_input(docs)
-    assert spread.rdd.getNumPartitions() == 2 * slots
-    sizes = spread.rdd.glom().map(len).collect()
-    assert max(sizes) - min(sizes) <= 1            # round-robin: even whatever the ids
-    big = spark.range(0, 100, numPartitions=4 * slots)
-    assert spread_input(big) is big                 # enough splits: left alone
