@@ -95,8 +95,10 @@ def link_edges(pages: DataFrame) -> DataFrame:
     refresh = F.lower(_attribute(F.col("tag"), "http-equiv")) == "refresh"
     jump = F.regexp_extract(_attribute(F.col("tag"), "content"), r"""(?is)^\s*[0-9.]*\s*[;,]\s*url\s*=\s*["']?([^"']*)""", 1)
     target = F.when(canonical & relation, _attribute(F.col("tag"), "href")).when(~canonical & refresh, jump)
-    return (tags.select(F.col("url").alias("src"), resolve(target, F.col("url")).alias("dst"))
-            .where("dst is not null").distinct())
+    # Written step by step: the expressions nest, and one plan would repeat each of them many times.
+    named = written(tags.select("url", target.alias("target")).where("target <> ''"), "link-targets")
+    return written(named.select(F.col("url").alias("src"), resolve(F.col("target"), F.col("url")).alias("dst"))
+                   .where("dst is not null").distinct(), "link-urls")
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -115,8 +117,7 @@ def filter_urls(pages: DataFrame, rules=RULES, redirects: DataFrame | None = Non
     edges = link_edges(pages)
     if redirects is not None:
         edges = edges.union(redirects.select(F.col("src").cast("string"), F.col("dst").cast("string")))
-    edges = written(edges.select(node_of(F.col("src")).alias("a"), node_of(F.col("dst")).alias("b"))
-                    .where("a is not null and b is not null and a <> b").distinct(), "links")
+    edges = written(edges.select(node_of(F.col("src")).alias("a"), node_of(F.col("dst")).alias("b")), "links")
     classes = written(connected_components(edges), "classes")
 
     # A class decides by all its urls, also those that are only targets.
