@@ -6,13 +6,14 @@ cost and gradient are sums over documents (S11), an L2 penalty ``reg*|r|^2``
 with gradient ``2*reg*r``, update ``r - (g + 2*reg*r)*lr``, and the loop stops
 *before* applying an update whose L2 norm is <= ``tol`` (S12).
 
-Execution: the labelled TF rows are materialized once (EX1). Each iteration
-is one Spark job: broadcast the (at most K) non-zero weights, compute every
-document's score with a window over its (at most K) rows, and aggregate
-gradient and cost by ``pos`` (partial aggregation, at most K rows per task in
-the shuffle). Only the K-long weight and gradient vectors live on the driver,
-like the coefficients of any Spark ML model; the plan of each iteration is
-built from fresh driver data, so lineage does not grow across iterations.
+Execution: the TF rows, one per document, are cached once (EX1). Each iteration
+is one Spark job: the K weights travel as a constant array, a document's score
+is a sum over its own arrays (no window, no shuffle), and gradient and cost are
+aggregated by ``pos``. The scan is coalesced to the cluster's task slots before
+the partial aggregation, so a pass shuffles at most slots x K rows however many
+files hold the TF. Only the K-long weight and gradient vectors live on the
+driver, like the coefficients of any Spark ML model; the plan of each iteration
+is built from fresh driver data, so lineage does not grow across iterations.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termflow import params
 from termflow.functions.logistic import sigmoid, softplus
 from termflow.functions.parse import label_expr
-from termflow.operators.tf import small_side
+from termflow.operators.tf import constant_array
 from termflow.session import materialize
 
 WEIGHT_SCHEMA = T.StructType([
@@ -65,61 +66,69 @@ class GdModel:
         self.weights = self.weights + step
 
 
-def weights_frame(spark: SparkSession, weights: np.ndarray, nonzero_only: bool = False) -> DataFrame:
+def weights_frame(spark: SparkSession, weights: np.ndarray) -> DataFrame:
     """(pos, weight) rows from the driver-side vector (at most K rows)."""
-    idx = np.flatnonzero(weights) if nonzero_only else np.arange(len(weights))
-    frame = pd.DataFrame({"pos": idx.astype(np.int32), "weight": weights[idx].astype(np.float64)})
+    frame = pd.DataFrame({"pos": np.arange(len(weights), dtype=np.int32),
+                          "weight": weights.astype(np.float64)})
     return spark.createDataFrame(frame, WEIGHT_SCHEMA)  # Arrow transfer
 
 
-def labelled_tf(tf: DataFrame, prefix: str) -> DataFrame:
-    return tf.select("doc_id", "pos", "tf", label_expr(F.col("doc_id"), prefix).alias("label"))
-
-
-def _scores(spark: SparkSession, rows: DataFrame, weights: np.ndarray) -> DataFrame:
-    """Attach ``w`` (weight of the row's position) to every TF row."""
+def theta_expr(weights: np.ndarray) -> Column:
+    """FN5: a document's score, the dot product of its TF arrays with the
+    weights."""
     if not weights.any():
-        return rows.withColumn("w", F.lit(0.0))
-    w = small_side(weights_frame(spark, weights, nonzero_only=True), len(weights), "weights")
-    return (rows.join(w, "pos", "left")
-            .withColumn("w", F.coalesce(F.col("weight"), F.lit(0.0))).drop("weight"))
-
-
-def gradient_pass(spark: SparkSession, data: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float]:
-    """AG10: summed gradient (K-vector) and summed cost before regularisation.
-
-    theta_d = sum(tf * w) over the document (FN5); gradient rows
-    tf * (sigmoid(theta_d) - y) (FN8, FN9); the document cost
-    softplus(theta_d) - y*theta_d (FN6, FN7) is attached to one row of the
-    document (its smallest position) so it is counted once."""
-    per_doc = Window.partitionBy("doc_id")
-    rows = _scores(spark, data, weights)
-    theta = F.sum(F.col("tf") * F.col("w")).over(per_doc)
-    first = F.min("pos").over(per_doc)
-    scored = rows.select("pos", "tf", "label", theta.alias("theta"), first.alias("first_pos"))
-    y = F.col("label").cast("double")
-    contrib = scored.select(
-        "pos",
-        (F.col("tf") * (sigmoid(F.col("theta")) - y)).alias("g"),
-        F.when(F.col("pos") == F.col("first_pos"),
-               softplus(F.col("theta")) - y * F.col("theta")).otherwise(F.lit(0.0)).alias("c"),
-    )
-    sums = contrib.groupBy("pos").agg(F.sum("g").alias("g"), F.sum("c").alias("c")).toPandas()
+        return F.lit(0.0)
+    w = constant_array(weights, "double")
+    products = F.zip_with("pos", "tf", lambda p, t: t * F.get(w, p))
+    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def gradient_tasks(spark: SparkSession) -> int:
+    """Tasks of a gradient pass: the cluster's slots, or its shuffle sizing
+    where that is larger (with dynamic allocation few slots may be up yet)."""
+    return max(spark.sparkContext.defaultParallelism,
+               int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def gradient_sums(rows: DataFrame, weights: np.ndarray, prefix: str, tasks: int) -> DataFrame:
+    """AG10: (pos, g, c), the summed gradient per position and shares of the
+    summed cost.
+
+    Gradient entries are tf * (sigmoid(theta_d) - y) (FN8, FN9); the document
+    cost softplus(theta_d) - y*theta_d (FN6, FN7) rides on the document's
+    first entry, so it is counted once."""
+    y = label_expr(F.col("doc_id"), prefix).cast("double")
+    scored = rows.coalesce(tasks).select("pos", "tf", y.alias("y"), theta_expr(weights).alias("theta"))
+    judged = scored.select(
+        (sigmoid(F.col("theta")) - F.col("y")).alias("residual"),
+        (softplus(F.col("theta")) - F.col("y") * F.col("theta")).alias("cost"),
+        F.posexplode(F.arrays_zip("pos", "tf")).alias("i", "entry"))
+    return judged.groupBy(F.col("entry.pos").alias("pos")).agg(
+        F.sum(F.col("entry.tf") * F.col("residual")).alias("g"),
+        F.sum(F.when(F.col("i") == 0, F.col("cost")).otherwise(F.lit(0.0))).alias("c"))
+
+
+def gradient_pass(rows: DataFrame, weights: np.ndarray, prefix: str, tasks: int) -> tuple[np.ndarray, float]:
+    """One job: summed gradient (K-vector) and summed cost before
+    regularisation. At most K rows come to the driver."""
+    sums = gradient_sums(rows, weights, prefix, tasks).toPandas()
     grad = np.zeros(len(weights))
     grad[sums["pos"].to_numpy()] = sums["g"].to_numpy()
     return grad, math.fsum(sums["c"].tolist())
 
 
-def fit_gd(tf: DataFrame, size: int, learning_rate: float, iterations: int, reg: float,
+def fit_gd(rows: DataFrame, size: int, learning_rate: float, iterations: int, reg: float,
            tol: float = params.GD_TOLERANCE, prefix: str = params.REFERENCE_LABEL_PREFIX,
-           mode: str = "cache") -> GdModel:
-    """ML6-ML9: run gradient descent over the TF rows of ``size`` positions."""
-    spark = tf.sparkSession
-    data = materialize(labelled_tf(tf, prefix), mode, keep_partitioning=True)
+           mode: str = "cache", tasks: int | None = None) -> GdModel:
+    """ML6-ML9: run gradient descent over the TF rows of ``size`` positions.
+    ``mode="none"`` rereads ``rows`` in every pass instead of caching them;
+    ``tasks`` sets the tasks of a pass (default ``gradient_tasks``)."""
+    data = materialize(rows.select("doc_id", "pos", "tf"), mode)
+    tasks = tasks or gradient_tasks(rows.sparkSession)
     model = GdModel(weights=np.zeros(size))
     try:
         while len(model.history) < iterations and not model.stopped:
-            model.advance(*gradient_pass(spark, data, model.weights), learning_rate, reg, tol)
+            model.advance(*gradient_pass(data, model.weights, prefix, tasks), learning_rate, reg, tol)
     finally:
         if mode == "cache":
             data.unpersist()
@@ -138,14 +147,11 @@ def top_words(spark: SparkSession, model: GdModel, dictionary: DataFrame,
         "rank", "pos", "word", "weight")
 
 
-def predict_gd(tf: DataFrame, model: GdModel, prefix: str = params.REFERENCE_LABEL_PREFIX) -> DataFrame:
+def predict_gd(rows: DataFrame, model: GdModel, prefix: str = params.REFERENCE_LABEL_PREFIX) -> DataFrame:
     """ML11: (doc_id, label, prediction); prediction 1 iff theta > 0 strictly
-    (S14). Grouping by doc_id reuses the TF partitioning."""
-    spark = tf.sparkSession
-    rows = _scores(spark, tf.select("doc_id", "pos", "tf"), model.weights)
-    theta = rows.groupBy("doc_id").agg(F.sum(F.col("tf") * F.col("w")).alias("theta"))
-    return theta.select(
+    (S14). Row by row in the scan stage."""
+    return rows.select(
         "doc_id",
         label_expr(F.col("doc_id"), prefix).alias("label"),
-        F.when(F.col("theta") > 0, 1).otherwise(0).alias("prediction"),
+        F.when(theta_expr(model.weights) > 0, 1).otherwise(0).alias("prediction"),
     )

@@ -1,8 +1,8 @@
 """Variance-based feature selection (AG5-AG9, FN14, ML4, ML5).
 
 The reference makes three passes over dense 20k-wide rows (count, sum, sum of
-squared deviations). In long form one aggregation by ``pos`` gives the sum and
-the sum of squares; absent entries are zeros and contribute nothing to
+squared deviations). Here one aggregation of the exploded TF arrays by ``pos``
+gives the sum and the sum of squares; absent entries are zeros and contribute nothing to
 either. The un-normalised variance is
 ``ss = sum((x - mean)^2) = sum(x^2) - sum(x)^2 / n`` (S18: no division by n).
 """
@@ -13,22 +13,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termflow import params
-from termflow.operators.tf import small_side
+from termflow.operators.tf import count_documents, entries, is_small
 from termflow.session import materialize
 
 
-def count_documents(tf: DataFrame) -> int:
-    """AG5: documents with a TF row. ``tf`` is partitioned by doc_id after the
-    TF window, so the distinct adds no shuffle."""
-    return int(tf.select("doc_id").distinct().count())
-
-
-def feature_stats(tf: DataFrame, n_docs: int | None = None) -> DataFrame:
-    """AG6-AG8: (pos, sum_tf, mean_tf, ss) in one pass; partial aggregation
-    leaves at most K rows per task for the shuffle."""
-    n = count_documents(tf) if n_docs is None else n_docs
+def feature_stats(rows: DataFrame, n_docs: int | None = None) -> DataFrame:
+    """AG6-AG8: (pos, sum_tf, mean_tf, ss) in one pass that reads ``pos`` and
+    ``tf`` alone; partial aggregation leaves at most K rows per task for the
+    shuffle."""
+    n = count_documents(rows) if n_docs is None else n_docs
     nl = F.lit(float(n))
-    sums = tf.groupBy("pos").agg(F.sum("tf").alias("sum_tf"),
+    sums = entries(rows).groupBy("pos").agg(F.sum("tf").alias("sum_tf"),
                                  F.sum(F.col("tf") * F.col("tf")).alias("sum_sq"))
     return sums.select(
         F.col("pos").cast("int").alias("pos"),
@@ -41,9 +36,11 @@ def feature_stats(tf: DataFrame, n_docs: int | None = None) -> DataFrame:
 def select_by_variance(stats: DataFrame, m: int = params.SELECTED_FEATURES,
                        mode: str = "checkpoint") -> DataFrame:
     """AG9/ML4 (fit): (new_pos, pos) for the ``m`` highest-variance features,
-    new_pos 0 = highest. The ordering key is rounded (S18) and ties go to the
-    lower position. At most K rows are ranked."""
-    key = F.round(F.col("ss"), params.VARIANCE_ROUND_DIGITS)
+    new_pos 0 = highest. The ordering key keeps a fixed number of significant
+    digits (S18), so it separates variances of any magnitude and ignores
+    summation noise; ties go to the lower position. At most K rows are
+    ranked."""
+    key = F.format_string(f"%.{params.VARIANCE_KEY_DECIMALS}e", F.col("ss")).cast("double")
     order = (key.desc(), F.col("pos").asc())
     top = stats.select("pos", "ss").orderBy(*order).limit(m)
     ranked = top.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("int").alias("new_pos"),
@@ -62,9 +59,10 @@ def slice_vectors(vectors: DataFrame, selected: DataFrame, col: str = "features"
             .withColumnRenamed(f"{col}_selected", col))
 
 
-def apply_selection(tf: DataFrame, selected: DataFrame, m: int) -> DataFrame:
-    """FN14/ML5 (transform): keep selected features, renumbered in falling
-    variance order; values are not re-normalised (S19). Training and test
-    both use the training selection."""
-    lookup = small_side(selected.select("pos", "new_pos"), m, "selection")
-    return tf.join(lookup, "pos", "inner").select("doc_id", "new_pos", "tf")
+def apply_selection(rows: DataFrame, selected: DataFrame, m: int) -> DataFrame:
+    """FN14/ML5 (transform): (doc_id, new_pos, tf) of the selected features,
+    renumbered in falling variance order; values are not re-normalised (S19).
+    Training and test both use the training selection."""
+    lookup = selected.select("pos", "new_pos")
+    lookup = F.broadcast(lookup) if is_small(lookup, m) else lookup
+    return entries(rows, "doc_id").join(lookup, "pos", "inner").select("doc_id", "new_pos", "tf")

@@ -1,92 +1,97 @@
 """Term-frequency rows (JN1, JN2, PR7, PR8, AG2-AG4, FN13, ML2, ML3).
 
-The TF matrix is kept in long (sparse) form ``(doc_id, pos, n, tf)``: one row
-per document and dictionary word present, never K-wide dense rows.
+The TF matrix is sparse, one row per document: ``(doc_id, pos[], n[], tf[])``
+with the positions ascending, never K-wide dense rows. A document has at most
+K entries, so a row is bounded whatever the corpus size.
 
 Plan: explode tokens in the scan stage -> broadcast hash join with the
 dictionary (drops out-of-dictionary words, PR7) -> ``groupBy(doc_id, pos)``
 with partial aggregation (a hot document or word is combined map-side, and
 the shuffle on (doc_id, pos) spreads even a document id that covers a third
-of the input) -> fixed-count ``repartition(doc_id)`` -> ``sum(n) OVER
-(PARTITION BY doc_id)`` for the L1 denominator. After the aggregation a
-document has at most K rows, so the window partition per document is bounded
-by K whatever the corpus size.
+of the input) -> ``groupBy(doc_id)`` collecting at most K pairs per document.
+A dictionary whose measured size is too large to broadcast is joined by
+shuffle, with the words counted per document first, so that raw tokens never
+cross the network and AQE can split a word that is in most documents. The L1
+denominator is summed in the same aggregation. Written as Parquet, the rows
+are read back pruned: statistics and gradient passes read ``pos`` and ``tf``,
+document counts no column at all.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from termflow import params
 from termflow.functions.parse import label_expr
-from termflow.functions.text import explode_tokens
+from termflow.functions.text import explode_tokens, token_pairs
 
 
-def small_side(df: DataFrame, max_rows: int | None, what: str) -> DataFrame:
-    """Broadcast ``df`` only when its row count is known to be bounded.
+def is_small(lookup: DataFrame, max_rows: int, text_col: str | None = None) -> bool:
+    """Whether a lookup table may be broadcast: at most ``max_rows`` rows by
+    construction, plus the measured bytes of its text column (a word has no
+    length limit)."""
+    size = 32 * max_rows
+    if text_col:
+        size += lookup.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return size <= params.BROADCAST_MAX_BYTES
 
-    ``max_rows`` is the bound by construction (the dictionary has at most K
-    rows, the weights at most K, the selection at most M). Beyond
-    ``BROADCAST_MAX_ROWS`` the join falls back to a shuffle join."""
-    if max_rows is not None and max_rows <= params.BROADCAST_MAX_ROWS:
-        return F.broadcast(df)
-    return df
 
-
-def dictionary_hits(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
-    """JN1+JN2+PR7+PR8: (doc_id, pos) for every in-dictionary token."""
-    lookup = small_side(dictionary.select("word", "pos"), k, "dictionary")
-    return explode_tokens(docs).join(lookup, "word", "inner").select("doc_id", "pos")
+def constant_array(values: np.ndarray, element_type: str) -> Column:
+    """A K-vector as one constant array column, indexed by position. It goes
+    to Catalyst as one string (``repr`` of a double is exact), which constant
+    folding turns into an array literal; it travels to the tasks inside the
+    plan, 8 bytes an entry."""
+    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast(f"array<{element_type}>")
 
 
 def position_counts(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
-    """AG2+AG3: (doc_id, pos, n). Repeated doc ids merge (S9)."""
-    return (dictionary_hits(docs, dictionary, k)
-            .groupBy("doc_id", "pos").agg(F.count(F.lit(1)).alias("n")))
-
-
-def doc_partitions(spark) -> int:
-    """Partition count for the doc_id-partitioned TF: the cluster's shuffle
-    sizing, i.e. ``spark.sql.shuffle.partitions`` or, when the cluster lets
-    AQE start from a larger count, ``initialPartitionNum``. The TF exchange
-    keeps a fixed count (so its partitioning survives materialization), so
-    this is where a cluster sizes it for its data."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return max(n, int(initial)) if initial else n
-
-
-def tf_long(docs: DataFrame, dictionary: DataFrame, k: int, partitions: int | None = None) -> DataFrame:
-    """ML2/ML3 (transform): (doc_id, pos, n, tf) with tf = n / in-dictionary
-    tokens of the document (S7). Documents without a dictionary word have no
-    row and so drop out of training and scoring (S8).
-
-    The aggregated rows are hash-partitioned on doc_id into a fixed number of
-    partitions; this exchange is the one the window needs anyway, and with an
-    explicit count AQE does not coalesce it, so the result (and a checkpoint of
-    it) keeps a partitioning that later per-document grouping can reuse."""
-    per_doc = Window.partitionBy("doc_id")
-    n_parts = partitions or doc_partitions(docs.sparkSession)
-    counts = position_counts(docs, dictionary, k).repartition(n_parts, "doc_id")
-    return counts.select(
-        "doc_id",
-        F.col("pos").cast("int").alias("pos"),
-        F.col("n").cast("long").alias("n"),
-        (F.col("n") / F.sum("n").over(per_doc)).alias("tf"),
-    )
+    """JN1+JN2+PR7+PR8+AG2+AG3: (doc_id, pos, n), one row per document and
+    dictionary word in it. Repeated doc ids merge (S9)."""
+    lookup = dictionary.select("word", F.col("pos").cast("int").alias("pos"))
+    if is_small(lookup, k, "word"):
+        hits = explode_tokens(docs).join(F.broadcast(lookup), "word", "inner")
+        return hits.groupBy("doc_id", "pos").agg(F.count(F.lit(1)).alias("n"))
+    return token_pairs(docs).join(lookup, "word", "inner").select("doc_id", "pos", "n")
+
+
+def tf_rows(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
+    """ML2/ML3 (transform): (doc_id, pos[], n[], tf[]) with tf = n /
+    in-dictionary tokens of the document (S7). Documents without a dictionary
+    word have no row and so drop out of training and scoring (S8)."""
+    pairs = F.sort_array(F.collect_list(F.struct("pos", "n")))
+    grouped = position_counts(docs, dictionary, k).groupBy("doc_id").agg(
+        pairs.alias("pairs"), F.sum("n").alias("total"))
+    return grouped.select("doc_id", F.col("pairs.pos").alias("pos"), F.col("pairs.n").alias("n"),
+                          F.transform("pairs.n", lambda n: n / F.col("total")).alias("tf"))
+
 
+def entries(rows: DataFrame, *keep: str, values: tuple[str, ...] = ("pos", "tf")) -> DataFrame:
+    """The ``values`` arrays as long rows, one per non-zero, beside the
+    columns to ``keep``. Only the named columns are read."""
+    return rows.select(*keep, F.inline(F.arrays_zip(*values)))
 
-def dropped_documents(docs: DataFrame, tf: DataFrame) -> DataFrame:
+
+def tf_long(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
+    """The long form of ``tf_rows``: (doc_id, pos, n, tf)."""
+    return entries(tf_rows(docs, dictionary, k), "doc_id", values=("pos", "n", "tf"))
+
+
+def count_documents(rows: DataFrame) -> int:
+    """AG5: documents with a TF row (from Parquet, footers answer it)."""
+    return int(rows.count())
+
+
+def dropped_documents(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """S8 report: documents, documents with a TF row, and those dropped."""
     n_docs = docs.select("doc_id").distinct().count()
-    n_with = tf.select("doc_id").distinct().count()
-    spark = docs.sparkSession
-    return spark.createDataFrame(
-        [(int(n_docs), int(n_with), int(n_docs - n_with))],
+    n_with = count_documents(rows)
+    return docs.sparkSession.createDataFrame(
+        [(int(n_docs), n_with, int(n_docs - n_with))],
         "n_docs long, n_with_tf long, n_dropped long")
 
 
@@ -109,38 +114,34 @@ def _sparse_vector_udf():
     return sparse_vectors
 
 
-def tf_vectors(tf: DataFrame, size: int, prefix: str = params.REFERENCE_LABEL_PREFIX,
-               value_col: str = "tf", pos_col: str = "pos") -> DataFrame:
-    """FN13: (doc_id, label DOUBLE, features VECTOR) for Spark ML.
-
-    Grouping by doc_id reuses the doc_id partitioning left by the TF window,
-    so it adds no shuffle; each list holds at most K (pos, tf) pairs."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(pos_col).alias("i"),
-                                                 F.col(value_col).alias("v"))))
-    grouped = tf.groupBy("doc_id").agg(pairs.alias("pairs"))
-    return grouped.select(
+def tf_vectors(rows: DataFrame, size: int, prefix: str = params.REFERENCE_LABEL_PREFIX) -> DataFrame:
+    """FN13: (doc_id, label DOUBLE, features VECTOR) for Spark ML, row by row
+    from the TF arrays."""
+    return rows.select(
         "doc_id",
         label_expr(F.col("doc_id"), prefix).cast("double").alias("label"),
-        _sparse_vector_udf()(F.lit(size), F.col("pairs.i"), F.col("pairs.v")).alias("features"),
+        _sparse_vector_udf()(F.lit(size), F.col("pos"), F.col("tf")).alias("features"),
     )
 
 
-def selected_vectors(tf: DataFrame, selected: DataFrame, m: int,
+def selected_vectors(rows: DataFrame, selected: DataFrame, m: int,
                      prefix: str = params.REFERENCE_LABEL_PREFIX) -> DataFrame:
     """FN14/ML5 for Spark ML: (doc_id, label, features) with the ``m``
     selected positions renumbered by ``new_pos`` (falling variance, not
     re-normalised, S19). Every document with a TF row keeps a vector, an
     all-zero one when none of its words was selected, as when a full row is
-    sliced. Cost is linear in the document's non-zeros (``VectorSlicer`` on
-    sparse vectors searches every selected index per row); the broadcast
-    left join keeps the doc_id partitioning, so the grouping adds no shuffle."""
-    lookup = small_side(selected.select("pos", "new_pos"), m, "selection")
-    joined = tf.join(lookup, "pos", "left")
-    pairs = F.array_sort(F.filter(
-        F.collect_list(F.struct(F.col("new_pos").alias("i"), F.col("tf").alias("v"))),
-        lambda x: x["i"].isNotNull()))
-    grouped = joined.groupBy("doc_id").agg(pairs.alias("pairs"))
-    return grouped.select(
+    sliced. The selection (at most M rows) comes to the driver and goes out
+    as a constant array, so the pass is row by row, without a shuffle, and
+    linear in the non-zeros (``VectorSlicer`` on sparse vectors searches every
+    selected index per row)."""
+    chosen = selected.select("pos", "new_pos").toPandas()
+    new_pos = np.full(int(chosen["pos"].max()) + 1 if len(chosen) else 1, -1)
+    new_pos[chosen["pos"].to_numpy(dtype=np.int64)] = chosen["new_pos"].to_numpy()
+    lookup = constant_array(new_pos, "int")
+    moved = F.zip_with("pos", "tf", lambda p, t: F.struct(
+        F.coalesce(F.get(lookup, p), F.lit(-1)).alias("i"), t.alias("v")))
+    kept = rows.select("doc_id", F.sort_array(F.filter(moved, lambda x: x["i"] >= 0)).alias("pairs"))
+    return kept.select(
         "doc_id",
         label_expr(F.col("doc_id"), prefix).cast("double").alias("label"),
         _sparse_vector_udf()(F.lit(m), F.col("pairs.i"), F.col("pairs.v")).alias("features"),

@@ -28,8 +28,10 @@ ML_MAX_ITER = 100
 # ---- defaults -----------------------------------------------------------------
 DICTIONARY_SIZE = 20000
 SELECTED_FEATURES = 10000
-# Ordering key for variance selection is rounded so that sums computed in a
-# different order (another engine, another partitioning) rank alike.
-VARIANCE_ROUND_DIGITS = 12
-# Largest dictionary / weight table shipped to every task with broadcast().
-BROADCAST_MAX_ROWS = 2_000_000
+# The ordering key of the variance selection keeps this many decimals of its
+# scientific notation, so that sums computed in a different order (another
+# engine, another partitioning) rank alike whatever their magnitude.
+VARIANCE_KEY_DECIMALS = 9
+# Largest lookup table (dictionary, selection) shipped to every task with
+# broadcast(), by its measured size.
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from termflow.functions import parse, text
 from termflow.operators import evaluate, gd, tf
-from termflow.plans.classify import (DOCUMENTS_PREFIX, Preset, metrics_frame, pipeline, pipeline_from_lines,
-                                     round_doubles)
+from termflow.plans.classify import (DOCUMENTS_PREFIX, Pipeline, Preset, metrics_frame, pipeline,
+                                     pipeline_from_lines, round_doubles, timed_run)
 from termflow.session import scratch_path
 from termflow.sources import sinks
 from termflow.sources.corpus import (documents_as_lines, read_doc_lines, read_table,
@@ -27,8 +27,30 @@ SHORT_VOCAB_K = 1_000_000      # S6: K larger than the training vocabulary
 CONVERGE_TOL = 5.0             # S12: tolerance reached within the iterations
 
 
-def _p(spark: SparkSession, sf_dir: str, preset: Preset = MAIN):
-    return pipeline(spark, sf_dir, preset)
+NARROW = Preset(prefix=DOCUMENTS_PREFIX, m=3)  # so few features that documents keep an all-zero vector
+MICRO = 1e6                    # small statistics are reported in millionths, so that rounding keeps their digits
+
+_SHARED: dict = {}
+
+
+def shared_pipeline(spark: SparkSession, sf_dir: str, preset: Preset = MAIN) -> Pipeline:
+    """The registered queries share one fitted dictionary, selection and set
+    of models per (application, data folder, preset). ``clear`` forgets them,
+    for use after the files of a folder were rewritten."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), preset)
+    if key not in _SHARED:
+        _SHARED[key] = pipeline(spark, sf_dir, preset)
+    return _SHARED[key]
+
+
+def clear() -> None:
+    """Forget the shared pipelines and free what they cache."""
+    for shared in _SHARED.values():
+        shared.release()
+    _SHARED.clear()
+
+
+_p = shared_pipeline
 
 
 # ---- IO / parsing --------------------------------------------------------------
@@ -88,30 +110,31 @@ def q_dictionary_short_vocab(spark, sf_dir):
 def q_dictionary_join(spark, sf_dir):
     """JN1/JN2/PR7/PR8/AG2/AG3: (doc_id, pos, n)."""
     p = _p(spark, sf_dir)
-    return tf.position_counts(p.corpus.train, p.dictionary, p.size).select(
-        "doc_id", F.col("pos").cast("int").alias("pos"), F.col("n").cast("long").alias("n"))
+    return tf.position_counts(p.corpus.train, p.dictionary, p.size)
 
 
 def q_tf_train(spark, sf_dir):
     """AG4/ML2."""
-    return _p(spark, sf_dir).tf_train().select("doc_id", "pos", "tf")
+    return _p(spark, sf_dir).tf_long("train").select("doc_id", "pos", "tf")
 
 
 def q_tf_test(spark, sf_dir):
     """ML3: test documents with the training dictionary."""
-    return _p(spark, sf_dir).tf_test().select("doc_id", "pos", "tf")
+    return _p(spark, sf_dir).tf_long("test").select("doc_id", "pos", "tf")
 
 
 def q_tf_dropped_docs(spark, sf_dir):
     """S8: test documents without any word of a 10-word dictionary."""
     p = _p(spark, sf_dir, Preset(k=DROPPED_K))
-    return tf.dropped_documents(p.corpus.test, p.tf_test())
+    return tf.dropped_documents(p.corpus.test, p.rows("test"))
 
 
 # ---- feature selection -----------------------------------------------------------
 def q_feature_stats(spark, sf_dir):
-    """AG5-AG8."""
-    return round_doubles(_p(spark, sf_dir).stats())
+    """AG5-AG8; means and sums of squares in millionths."""
+    stats = _p(spark, sf_dir).stats()
+    return round_doubles(stats.select("pos", "sum_tf", (F.col("mean_tf") * MICRO).alias("mean_tf_micro"),
+                                      (F.col("ss") * MICRO).alias("ss_micro")))
 
 
 def q_variance_topm(spark, sf_dir):
@@ -216,16 +239,12 @@ def _vector_stats(vectors: DataFrame) -> DataFrame:
     ))
 
 
-def q_vector_stats(spark, sf_dir):
-    """FN13: the training vectors Spark ML fits on, checked entry-wise
-    against the long-form TF."""
-    return _vector_stats(_p(spark, sf_dir).vectors("train", "full"))
-
-
-def q_reduced_vector_stats(spark, sf_dir):
-    """FN14/ML5: reduced training vectors; a document none of whose words
-    was selected keeps an all-zero vector (nnz 0)."""
-    return _vector_stats(_p(spark, sf_dir).vectors("train", "reduced"))
+def _vectors(side: str, features: str, preset: Preset = MAIN) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark, sf_dir):
+        return _vector_stats(_p(spark, sf_dir, preset).vectors(side, features))
+    run.__doc__ = (f"FN13/FN14/ML5: the {side} vectors Spark ML sees on {features} features, checked entry-wise; "
+                   "a document none of whose words was selected keeps an all-zero vector (nnz 0).")
+    return run
 
 
 def _ml_metrics(kind: str, features: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -235,10 +254,28 @@ def _ml_metrics(kind: str, features: str) -> Callable[[SparkSession, str], DataF
     return run
 
 
-def q_model_comparison(spark, sf_dir):
-    """ML25/EX1-EX3: LR and SVM on full and reduced features, with times."""
+ML_RUNS = [(kind, features) for features in ("full", "reduced") for kind in ("lr", "svm")]
+
+
+def q_ml_checks(spark, sf_dir):
+    """ML16-ML19/ML25/PR10/FN15: what holds of every fit and its scores. Each
+    test document with a TF row is scored once, the four outcomes add up to
+    the labels, accuracy is at least 0.99, and training lowered the loss."""
     p = _p(spark, sf_dir)
-    runs = [p.ml_run(kind, feats) for feats in ("full", "reduced") for kind in ("lr", "svm")]
+    runs = [p.ml_run(kind, features) for kind, features in ML_RUNS]
+    labels = {r["label"]: r["n"] for r in p.vectors("test", "full").groupBy("label")
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    pos, neg = labels.get(1.0, 0), labels.get(0.0, 0)
+    facts = [(r["model"], r["features"], r["tp"] + r["fn"], r["fp"] + r["tn"], r["tp"] + r["fn"] == pos,
+              r["fp"] + r["tn"] == neg, r["accuracy"] >= 0.99, r["loss_fell"]) for r in runs]
+    return spark.createDataFrame(facts, "model string, features string, p long, n long, positives_add_up boolean, "
+                                        "negatives_add_up boolean, accurate boolean, loss_fell boolean")
+
+
+def q_model_comparison(spark, sf_dir):
+    """ML25/EX1-EX3: LR and SVM on full and reduced features, each a whole run
+    of its own with its times."""
+    runs = [timed_run(pipeline(spark, sf_dir, MAIN), kind, features) for kind, features in ML_RUNS]
     return metrics_frame(spark, runs, with_timing=True)
 
 
@@ -292,8 +329,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gd_f1": q_gd_f1,
     "gd_false_positives": q_gd_false_positives,
     "class_metrics_gd": q_class_metrics_gd,
-    "vector_stats": q_vector_stats,
-    "reduced_vector_stats": q_reduced_vector_stats,
+    "vector_stats": _vectors("train", "full"),
+    "vector_stats_test": _vectors("test", "full"),
+    "reduced_vector_stats": _vectors("train", "reduced"),
+    "reduced_vector_stats_test": _vectors("test", "reduced"),
+    "reduced_vector_stats_narrow": _vectors("train", "reduced", NARROW),
+    "ml_checks": q_ml_checks,
     "lr_full_metrics": _ml_metrics("lr", "full"),
     "svm_full_metrics": _ml_metrics("svm", "full"),
     "lr_reduced_metrics": _ml_metrics("lr", "reduced"),

@@ -18,8 +18,7 @@ from pyspark.sql import types as T
 from termflow import params
 from termflow.operators import evaluate, gd, ml, selection, tf
 from termflow.operators.dictionary import dictionary_from_counts, word_counts
-from termflow.operators.selection import count_documents
-from termflow.session import materialize
+from termflow.session import materialize, write_and_read
 from termflow.functions.parse import parse_doc_lines
 from termflow.sources.corpus import documents_corpus, read_doc_lines, split_corpus
 
@@ -41,7 +40,7 @@ class Preset:
     reg: float = 0.001
     tol: float = params.GD_TOLERANCE
     persist: str = "checkpoint"
-    partitions: int | None = None   # TF partitions by doc_id; None = cluster shuffle sizing
+    gradient_tasks: int | None = None   # tasks of a gradient pass; None = the cluster's slots
 
 
 @dataclass
@@ -95,36 +94,33 @@ class Pipeline:
             self._cache["size"] = int(self.dictionary.count())
         return self._cache["size"]
 
-    def _tf(self, side: str) -> DataFrame:
-        """TF rows of one side, written once to the shared checkpoint folder
-        (EX1/EX2): every later stage (statistics, selection, each GD pass,
-        vectors) reads them, a lost executor does not force re-tokenising the
-        corpus, and the doc_id partitioning is kept for later per-document
-        grouping."""
-        key = ("tf", side)
+    def rows(self, side: str) -> DataFrame:
+        """TF rows of one side, one per document, written once as Parquet to
+        the shared folder (EX1/EX2): every later stage (statistics, selection,
+        each GD pass, vectors) reads only the columns it uses, and a lost
+        executor does not force re-tokenising the corpus."""
+        key = ("rows", side)
         if key not in self._cache:
             docs = self.corpus.train if side == "train" else self.corpus.test
-            self._cache[key] = materialize(
-                tf.tf_long(docs, self.dictionary, self.size, self.preset.partitions),
-                self.preset.persist, keep_partitioning=True)
+            built = tf.tf_rows(docs, self.dictionary, self.size)
+            self._cache[key] = built if self.preset.persist == "none" else write_and_read(built, f"tf-{side}")
         return self._cache[key]
 
-    def tf_train(self) -> DataFrame:
-        return self._tf("train")
-
-    def tf_test(self) -> DataFrame:
-        return self._tf("test")
+    def tf_long(self, side: str) -> DataFrame:
+        """The long form (doc_id, pos, n, tf) of one side."""
+        return tf.entries(self.rows(side), "doc_id", values=("pos", "n", "tf"))
 
     def counts(self, side: str) -> tuple[int, int]:
-        """(TF rows, documents with a TF row) of one side, counted once."""
+        """(TF entries, documents with a TF row) of one side, counted once."""
         key = ("counts", side)
         if key not in self._cache:
-            base = self.tf_train() if side == "train" else self.tf_test()
-            self._cache[key] = (int(base.count()), count_documents(base))
+            size = self.rows(side).agg(F.coalesce(F.sum(F.size("pos")), F.lit(0)).alias("e"),
+                                       F.count(F.lit(1)).alias("d")).first()
+            self._cache[key] = (int(size.e), int(size.d))
         return self._cache[key]
 
     def stats(self) -> DataFrame:
-        return selection.feature_stats(self.tf_train(), self.counts("train")[1])
+        return selection.feature_stats(self.rows("train"), self.counts("train")[1])
 
     @property
     def selected(self) -> DataFrame:
@@ -139,8 +135,7 @@ class Pipeline:
         return self._cache["m_size"]
 
     def tf_reduced(self, side: str) -> DataFrame:
-        base = self.tf_train() if side == "train" else self.tf_test()
-        return selection.apply_selection(base, self.selected, self.m_size)
+        return selection.apply_selection(self.rows(side), self.selected, self.m_size)
 
     def vectors(self, side: str, features: str) -> DataFrame:
         """(doc_id, label, features) for ``side`` in {train, test} over the
@@ -149,10 +144,9 @@ class Pipeline:
         Reduced vectors keep every document with a TF row, as the reference
         slices each document's full row: a document none of whose words was
         selected keeps an all-zero vector instead of dropping out."""
-        base = self.tf_train() if side == "train" else self.tf_test()
         if features == "full":
-            return tf.tf_vectors(base, self.size, self.preset.prefix)
-        return tf.selected_vectors(base, self.selected, self.m_size, self.preset.prefix)
+            return tf.tf_vectors(self.rows(side), self.size, self.preset.prefix)
+        return tf.selected_vectors(self.rows(side), self.selected, self.m_size, self.preset.prefix)
 
     # ---- gradient descent ------------------------------------------------------
     def gd_model(self, tol: float | None = None) -> gd.GdModel:
@@ -160,50 +154,65 @@ class Pipeline:
         tol = p.tol if tol is None else tol
         key = ("gd", tol)
         if key not in self._cache:
-            self._cache[key] = gd.fit_gd(self.tf_train(), self.size, p.learning_rate,
-                                         p.iterations, p.reg, tol, p.prefix)
+            self._cache[key] = gd.fit_gd(self.rows("train"), self.size, p.learning_rate,
+                                         p.iterations, p.reg, tol, p.prefix, tasks=p.gradient_tasks)
         return self._cache[key]
 
     def gd_predictions(self) -> DataFrame:
-        return gd.predict_gd(self.tf_test(), self.gd_model(), self.preset.prefix)
+        return gd.predict_gd(self.rows("test"), self.gd_model(), self.preset.prefix)
 
     # ---- Spark ML --------------------------------------------------------------
-    def _cached_vectors(self, side: str, features: str) -> DataFrame:
-        """Vectors of one side cached at full parallelism."""
-        key = ("vectors_cached", side, features)
-        if key not in self._cache:
-            self._cache[key] = materialize(self.vectors(side, features), "cache")
-        return self._cache[key]
-
-    def ml_vectors(self, features: str) -> tuple[DataFrame, DataFrame, float]:
-        """Cached (train, test) vectors for one feature set, shared by the LR
-        and SVM runs (EX1/EX2), and the seconds it took to build them."""
+    def ml_vectors(self, features: str) -> tuple[DataFrame, DataFrame]:
+        """(train, test) vectors of one feature set, cached at the TF rows'
+        parallelism and shared by the LR and SVM runs (EX1/EX2) until
+        ``release`` frees them."""
         key = ("vectors", features)
         if key not in self._cache:
-            t0 = time.perf_counter()
-            out = []
-            for side in ("train", "test"):
-                out.append(self._cached_vectors(side, features))
-            self._cache[key] = (out[0], out[1], time.perf_counter() - t0)
+            self._cache[key] = tuple(materialize(self.vectors(side, features), "cache")
+                                     for side in ("train", "test"))
         return self._cache[key]
 
+    def release(self) -> None:
+        """Unpersist every cached vector frame."""
+        for key in [k for k in self._cache if k[0] == "vectors"]:
+            for frame in self._cache.pop(key):
+                frame.unpersist()
+
     def ml_run(self, kind: str, features: str) -> dict:
-        """Fit ``kind`` (lr | svm) on ``features`` (full | reduced) with each
-        phase forced by an action and timed (EX3): preprocess = building the
-        cached vectors, train = fit, test = scoring and metrics."""
+        """Fit ``kind`` (lr | svm) on ``features`` (full | reduced) and score
+        the test side, both forced by an action and timed. Once both kinds have
+        run, the vectors of that feature set are unpersisted."""
         key = ("ml", kind, features)
         if key in self._cache:
             return self._cache[key]
-        train, test, prep = self.ml_vectors(features)
-        t1 = time.perf_counter()
+        train, test = self.ml_vectors(features)
+        started = time.perf_counter()
         model = ml.ESTIMATORS[kind](train)
-        t2 = time.perf_counter()
+        fitted = time.perf_counter()
         metrics = evaluate.class_metrics(ml.score(model, test)).first().asDict()
-        t3 = time.perf_counter()
-        out = {"model": kind, "features": features, **metrics,
-               "preprocess_sec": prep, "train_sec": t2 - t1, "test_sec": t3 - t2}
-        self._cache[key] = out
-        return out
+        scored = time.perf_counter()
+        losses = list(model.summary().objectiveHistory if callable(model.summary)
+                      else model.summary.objectiveHistory)
+        self._cache[key] = {"model": kind, "features": features, **metrics,
+                            "loss_fell": losses[-1] < losses[0],
+                            "train_sec": fitted - started, "test_sec": scored - fitted}
+        if all(("ml", other, features) in self._cache for other in ml.ESTIMATORS):
+            for frame in self._cache.pop(("vectors", features)):
+                frame.unpersist()
+        return self._cache[key]
+
+
+def timed_run(fresh: Pipeline, kind: str, features: str) -> dict:
+    """EX3: one whole run of a ``fresh`` pipeline, which has computed nothing
+    yet, so that its times do not depend on what ran before. Preprocessing
+    goes from reading the corpora to the cached vectors of both sides; the
+    vectors are unpersisted at the end (EX1/EX2)."""
+    started = time.perf_counter()
+    fresh.ml_vectors(features)
+    prepared = time.perf_counter()
+    run = fresh.ml_run(kind, features)
+    fresh.release()
+    return {**run, "preprocess_sec": prepared - started, "total_sec": time.perf_counter() - started}
 
 
 METRIC_SCHEMA = T.StructType([
@@ -219,7 +228,7 @@ METRIC_SCHEMA = T.StructType([
     T.StructField("f_measure", T.DoubleType(), False),
 ])
 TIMING_FIELDS = [T.StructField(n, T.DoubleType(), False)
-                 for n in ("preprocess_sec", "train_sec", "test_sec")]
+                 for n in ("preprocess_sec", "train_sec", "test_sec", "total_sec")]
 
 
 def metrics_frame(spark: SparkSession, runs: list[dict], with_timing: bool = False) -> DataFrame:
@@ -229,27 +238,16 @@ def metrics_frame(spark: SparkSession, runs: list[dict], with_timing: bool = Fal
     return spark.createDataFrame([tuple(r[n] for n in names) for r in runs], schema)
 
 
-_PIPELINES: dict = {}
-
-
 def pipeline(spark: SparkSession, sf_dir: str, preset: Preset | None = None) -> Pipeline:
-    """Memoised per (application, data folder, preset) so that the registered
-    queries share one fitted dictionary, selection and set of models."""
+    """A fresh pipeline over the documents table of ``sf_dir``."""
     preset = preset or Preset(prefix=DOCUMENTS_PREFIX)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), preset)
-    if key not in _PIPELINES:
-        _PIPELINES[key] = Pipeline(spark, load_corpus(spark, sf_dir, preset), preset)
-    return _PIPELINES[key]
+    return Pipeline(spark, load_corpus(spark, sf_dir, preset), preset)
 
 
 def pipeline_from_lines(spark: SparkSession, train_path: str, test_path: str,
                         preset: Preset | None = None, mode: str = "FAILFAST") -> Pipeline:
-    """Pipeline over two document-line corpora, memoised like ``pipeline``."""
-    preset = preset or Preset()
-    key = (spark.sparkContext.applicationId, "lines", train_path, test_path, preset, mode)
-    if key not in _PIPELINES:
-        _PIPELINES[key] = Pipeline(spark, lines_corpus(spark, train_path, test_path, mode), preset)
-    return _PIPELINES[key]
+    """A fresh pipeline over two document-line corpora."""
+    return Pipeline(spark, lines_corpus(spark, train_path, test_path, mode), preset or Preset())
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -8,7 +8,9 @@ to 6 decimals on both sides (summation order differs between engines), and
 
 from __future__ import annotations
 
-from termflow.plans.catalog import CONVERGE_TOL, DROPPED_K, HARD, MAIN, NO_TRUE_POSITIVE, SHORT_VOCAB_K
+from termflow.plans.catalog import (CONVERGE_TOL, DROPPED_K, HARD, MAIN, MICRO, NARROW, NO_TRUE_POSITIVE,
+                                    SHORT_VOCAB_K)
+from termflow.params import VARIANCE_KEY_DECIMALS
 from termflow.plans.classify import Preset
 
 
@@ -66,7 +68,8 @@ def _selection(p: Preset) -> list[str]:
         ("stats AS (SELECT pos, sum_tf, sum_tf / nd AS mean_tf, sum_sq - sum_tf * sum_tf / nd AS ss "
          "FROM sums, n_docs)"),
         ("selected AS (SELECT CAST(new_pos AS INTEGER) AS new_pos, CAST(pos AS INTEGER) AS pos FROM "
-         "(SELECT pos, row_number() OVER (ORDER BY round(ss, 12) DESC, pos) - 1 AS new_pos FROM stats) "
+         f"(SELECT pos, row_number() OVER (ORDER BY CAST(printf('%.{VARIANCE_KEY_DECIMALS}e', ss) AS DOUBLE) DESC, pos) - 1 "
+         "AS new_pos FROM stats) "
          f"WHERE new_pos < {p.m})"),
     ]
 
@@ -180,7 +183,8 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT count(DISTINCT doc_id) AS c FROM test) a, "
         "(SELECT count(DISTINCT doc_id) AS c FROM tf_test) b")
     q["feature_stats"] = _with(sel, (
-        f"SELECT pos, {_r('sum_tf')} AS sum_tf, {_r('mean_tf')} AS mean_tf, {_r('ss')} AS ss FROM stats"))
+        f"SELECT pos, {_r('sum_tf')} AS sum_tf, {_r(f'mean_tf * {MICRO!r}')} AS mean_tf_micro, "
+        f"{_r(f'ss * {MICRO!r}')} AS ss_micro FROM stats"))
     q["variance_topm"] = _with(sel, "SELECT new_pos, pos FROM selected")
     q["tf_reduced_train"] = _with(sel, "SELECT t.doc_id, s.new_pos, t.tf FROM tf_train t JOIN selected s USING (pos)")
     q["tf_reduced_test"] = _with(sel + _tf("tf_test", "test_tokens"),
@@ -223,13 +227,23 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS pr, "
             "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS rc FROM conf)"))
     q["history_sink"] = _with(full, hist)
-    q["vector_stats"] = _with(tf_tr, (
-        f"SELECT doc_id, {_label('doc_id', p.prefix)} AS label, CAST(count(*) AS BIGINT) AS nnz, "
-        f"{_r('sum(tf)')} AS tf_sum FROM tf_train GROUP BY doc_id"))
-    q["reduced_vector_stats"] = _with(sel, (
-        f"SELECT t.doc_id, {_label('t.doc_id', p.prefix)} AS label, CAST(count(s.pos) AS BIGINT) AS nnz, "
-        f"{_r('coalesce(sum(CASE WHEN s.pos IS NOT NULL THEN t.tf END), 0.0)')} AS tf_sum "
-        "FROM tf_train t LEFT JOIN selected s USING (pos) GROUP BY t.doc_id"))
+    for suffix, side in (("", "train"), ("_test", "test")):
+        rows = tf_tr + (_tf("tf_test", "test_tokens") if side == "test" else [])
+        q["vector_stats" + suffix] = _with(rows, (
+            f"SELECT doc_id, {_label('doc_id', p.prefix)} AS label, CAST(count(*) AS BIGINT) AS nnz, "
+            f"{_r('sum(tf)')} AS tf_sum FROM tf_{side} GROUP BY doc_id"))
+    for suffix, side, preset in (("", "train", p), ("_test", "test", p), ("_narrow", "train", NARROW)):
+        rows = tf_tr + _selection(preset) + (_tf("tf_test", "test_tokens") if side == "test" else [])
+        q["reduced_vector_stats" + suffix] = _with(rows, (
+            f"SELECT t.doc_id, {_label('t.doc_id', preset.prefix)} AS label, CAST(count(s.pos) AS BIGINT) AS nnz, "
+            f"{_r('coalesce(sum(CASE WHEN s.pos IS NOT NULL THEN t.tf END), 0.0)')} AS tf_sum "
+            f"FROM tf_{side} t LEFT JOIN selected s USING (pos) GROUP BY t.doc_id"))
+    q["ml_checks"] = _with(tf_te + [
+        f"labels AS (SELECT DISTINCT doc_id, {_label('doc_id', p.prefix)} AS label FROM tf_test)"], (
+        "SELECT model, features, CAST((SELECT count(*) FROM labels WHERE label = 1) AS BIGINT) AS p, "
+        "CAST((SELECT count(*) FROM labels WHERE label = 0) AS BIGINT) AS n, TRUE AS positives_add_up, "
+        "TRUE AS negatives_add_up, TRUE AS accurate, TRUE AS loss_fell FROM "
+        "(VALUES ('lr', 'full'), ('svm', 'full'), ('lr', 'reduced'), ('svm', 'reduced')) AS m(model, features)"))
     q["lines_gd_confusion"] = q["gd_confusion"]
     del q["gd_false_positives_zero"]  # that preset predicts no positives
     return q

@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 
 from termflow import params
 from termflow.operators import evaluate, gd
-from termflow.plans.classify import Preset, metrics_frame, pipeline_from_lines
+from termflow.plans.classify import Preset, metrics_frame, pipeline_from_lines, timed_run
 from termflow.session import materialize
 from termflow.sources import sinks
 
@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                "confusion": conf, "f1": evaluate.f1_report(conf),
                "false_positives": evaluate.false_positives(preds, p.corpus.test)}
     else:
-        out = {"metrics": metrics_frame(spark, [p.ml_run(args.model, args.features)], with_timing=True)}
+        out = {"metrics": metrics_frame(spark, [timed_run(p, args.model, args.features)], with_timing=True)}
     for name, df in out.items():
         print(f"== {name}")
         df.show(max(df.count(), 1), truncate=False)  # whole reports and whole texts

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,48 +59,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
-def materialize(df: DataFrame, mode: str = "checkpoint", keep_partitioning: bool = False) -> DataFrame:
+def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """Cut lineage of a result that later stages read several times.
 
     ``checkpoint`` writes it to the shared folder (survives executor loss and
     keeps iterative plans short); ``cache`` keeps it in executor memory and
-    recomputes lost blocks from lineage; ``none`` returns it unchanged.
-
-    ``keep_partitioning``: an adaptive plan reports no output partitioning, so
-    a checkpoint or cache taken under AQE forgets that its rows are, say,
-    hash-partitioned by doc_id, and every later per-document step would
-    shuffle them again. With this flag the result is planned afresh with AQE
-    off for this one action, and the materialized relation keeps the
-    partitioning of its last exchange."""
+    recomputes lost blocks from lineage; ``none`` returns it unchanged."""
     if mode == "none":
         return df
     if mode not in ("checkpoint", "cache"):
         raise ValueError(f"unknown materialize mode {mode!r}")
-    spark = df.sparkSession
-    if mode == "checkpoint":
-        checkpoint_dir(spark)
-    if keep_partitioning:
-        with _conf(spark, "spark.sql.adaptive.enabled", "false"):
-            return _materialize(df.select("*"), mode)
-    return _materialize(df, mode)
-
-
-def _materialize(df: DataFrame, mode: str) -> DataFrame:
     if mode == "checkpoint":
+        checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
     df = df.cache()
     df.count()
     return df
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """A data-sized intermediate as Parquet in the shared folder, read back
+    with column pruning: it survives executor loss and cuts lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,17 +22,17 @@ from termflow.operators import gd, ml, tf
 from termflow.session import scratch_path
 
 
-def score_frame(tf_rows: DataFrame, model, size: int, prefix: str,
+def score_frame(rows: DataFrame, model, size: int, prefix: str,
                 selected: DataFrame | None = None, m: int | None = None) -> DataFrame:
     """(doc_id, label, prediction) for TF rows: gradient-descent weights
     (ML11), or a fitted Spark ML model on the full vectors or, with
     ``selected``, on the variance-selected ones (ML17/ML19)."""
     if isinstance(model, gd.GdModel):
-        return gd.predict_gd(tf_rows, model, prefix)
+        return gd.predict_gd(rows, model, prefix)
     if selected is None:
-        vectors = tf.tf_vectors(tf_rows, size, prefix)
+        vectors = tf.tf_vectors(rows, size, prefix)
     else:
-        vectors = tf.selected_vectors(tf_rows, selected, m, prefix)
+        vectors = tf.selected_vectors(rows, selected, m, prefix)
     return ml.score(model, vectors)
 
 
@@ -59,7 +59,7 @@ def score_lines_stream(spark: SparkSession, source_dir: str, dictionary: DataFra
         if parse_mode == "DROPMALFORMED":
             malformed_counts(batch).write.mode("overwrite").parquet(
                 f"{sink_dir.rstrip('/')}_malformed/batch_id={batch_id}")
-        preds = score_frame(tf.tf_long(docs, dictionary, size), model, size, prefix, selected, m)
+        preds = score_frame(tf.tf_rows(docs, dictionary, size), model, size, prefix, selected, m)
         preds.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 

@@ -6,7 +6,8 @@ import pytest
 from termflow.operators import gd
 from termflow.operators import dictionary as dct
 from termflow.operators import tf
-from termflow.plans.classify import Preset, pipeline
+from termflow.plans.catalog import shared_pipeline as pipeline
+from termflow.plans.classify import Preset
 
 from conftest import SF001, docs_frame
 
@@ -40,7 +41,7 @@ def brute_force_gd(x, y, lr, iterations, reg, tol):
 
 
 def dense_tf(p):
-    rows = p.tf_train().collect()
+    rows = p.tf_long("train").collect()
     ids = sorted({r.doc_id for r in rows})
     index = {d: i for i, d in enumerate(ids)}
     x = np.zeros((len(ids), p.size))
@@ -55,7 +56,7 @@ def test_gd_matches_dense_brute_force(spark, lr, iters, reg, tol):
     p = pipeline(spark, SF001, Preset(prefix="EN", k=2000))
     x, y = dense_tf(p)
     want_r, want_hist, want_stop = brute_force_gd(x, y, lr, iters, reg, tol)
-    m = gd.fit_gd(p.tf_train(), p.size, lr, iters, reg, tol, p.preset.prefix)
+    m = gd.fit_gd(p.rows("train"), p.size, lr, iters, reg, tol, p.preset.prefix)
     assert m.stopped == want_stop
     assert len(m.history) == len(want_hist)
     for (i, c, l), (wi, wc, wl) in zip(m.history, want_hist):
@@ -65,7 +66,7 @@ def test_gd_matches_dense_brute_force(spark, lr, iters, reg, tol):
 
 def test_convergence_at_first_iteration_applies_nothing(spark):
     p = pipeline(spark, SF001, Preset(prefix="EN", k=500))
-    m = gd.fit_gd(p.tf_train(), p.size, 1e-6, 5, 0.0, 0.1, "EN")
+    m = gd.fit_gd(p.rows("train"), p.size, 1e-6, 5, 0.0, 0.1, "EN")
     assert m.stopped and m.stopped_at == 0 and m.iterations_applied == 0
     assert not m.weights.any()
 
@@ -73,7 +74,7 @@ def test_convergence_at_first_iteration_applies_nothing(spark):
 def test_large_theta_is_finite(spark):
     docs = docs_frame(spark, [("AU1", "big"), ("EN1", "small")])
     d = dct.build_dictionary(docs, 10, mode="none")
-    t = tf.tf_long(docs, d, 2)
+    t = tf.tf_rows(docs, d, 2)
     # a huge learning rate drives theta far beyond exp overflow (S13)
     m = gd.fit_gd(t, 2, 1e4, 4, 0.0, 0.0, "AU")
     assert all(math.isfinite(c) and math.isfinite(l) for _, c, l in m.history)
@@ -83,7 +84,7 @@ def test_large_theta_is_finite(spark):
 def test_theta_zero_predicts_zero(spark):
     docs = docs_frame(spark, [("AU1", "alpha"), ("EN1", "beta")])
     d = dct.build_dictionary(docs, 10, mode="none")
-    t = tf.tf_long(docs, d, 2)
+    t = tf.tf_rows(docs, d, 2)
     model = gd.GdModel(weights=np.zeros(2))
     preds = {r.doc_id: (r.label, r.prediction) for r in gd.predict_gd(t, model, "AU").collect()}
     assert preds == {"AU1": (1, 0), "EN1": (0, 0)}
@@ -95,3 +96,17 @@ def test_top_words_order_and_ties(spark):
     model = gd.GdModel(weights=np.array([0.1, 0.5, 0.5, -1.0, 0.2, 0.5, 0.0]))
     got = [tuple(r) for r in gd.top_words(spark, model, d).orderBy("rank").collect()]
     assert got == [(1, 1, "b", 0.5), (2, 2, "c", 0.5), (3, 5, "f", 0.5), (4, 4, "e", 0.2), (5, 0, "a", 0.1)]
+
+
+def test_pass_is_the_same_from_cache_from_parquet_and_for_any_task_count(spark):
+    p = pipeline(spark, SF001, Preset(prefix="EN", k=500))
+    runs = [gd.fit_gd(p.rows("train"), p.size, 0.5, 3, 0.001, 0.1, "EN", mode=mode, tasks=tasks)
+            for mode, tasks in (("cache", None), ("none", None), ("none", 1))]
+    for m in runs[1:]:
+        assert np.allclose(m.weights, runs[0].weights, rtol=1e-9, atol=1e-12)
+
+
+def test_constant_array_is_exact(spark):
+    values = np.array([0.1, -1e-300, 1 / 3, 1e22, 0.0, 5e-324])
+    row = spark.range(1).select(tf.constant_array(values, "double").alias("v")).first()
+    assert row.v == values.tolist()

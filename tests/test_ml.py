@@ -2,7 +2,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from termflow.operators import evaluate, ml
-from termflow.plans.classify import pipeline
+from termflow.plans.catalog import shared_pipeline as pipeline
 
 from conftest import SF01
 
@@ -15,8 +15,8 @@ def test_lr_and_svm_on_full_and_reduced_features(spark):
         size = p.size if features == "full" else p.m_size
         assert train.first().features.size == size
         # every document with a TF row is kept, also with an all-zero reduced vector
-        assert train.count() == p.tf_train().select("doc_id").distinct().count()
-        assert test.count() == p.tf_test().select("doc_id").distinct().count()
+        assert train.count() == p.tf_long("train").select("doc_id").distinct().count()
+        assert test.count() == p.tf_long("test").select("doc_id").distinct().count()
         for fit in (ml.fit_lr, ml.fit_svc):
             scored = ml.score(fit(train), test)
             m = evaluate.class_metrics(scored).first()
@@ -33,4 +33,16 @@ def test_model_comparison_has_four_rows(spark):
     rows = QUERIES["model_comparison"](spark, SF01).collect()
     assert {(r.model, r.features) for r in rows} == {("lr", "full"), ("svm", "full"),
                                                      ("lr", "reduced"), ("svm", "reduced")}
-    assert all(r.train_sec >= 0 and r.test_sec >= 0 for r in rows)
+    # every run is whole: it reads, tokenises and builds its own vectors
+    assert all(min(r.preprocess_sec, r.train_sec, r.test_sec) > 0 for r in rows)
+    assert all(r.total_sec >= r.preprocess_sec + r.train_sec + r.test_sec for r in rows)
+
+
+def test_vectors_are_released_after_both_models(spark):
+    from termflow.plans.classify import Preset
+    p = pipeline(spark, SF01, Preset(prefix="EN", k=300))
+    train, test = p.ml_vectors("full")
+    p.ml_run("lr", "full")
+    assert train.is_cached and p.ml_vectors("full")[0] is train
+    p.ml_run("svm", "full")
+    assert not train.is_cached and not test.is_cached

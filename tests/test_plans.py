@@ -5,13 +5,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from termflow.operators import dictionary as dct
 from termflow.operators import gd, selection, tf
-from termflow.plans.classify import Preset, pipeline
-from termflow.session import materialize
+from termflow.plans.catalog import shared_pipeline as pipeline
+from termflow.plans.classify import Preset
 
 from conftest import SF001, SF01, docs_frame
 from test_text import py_words
@@ -51,21 +50,29 @@ def test_dictionary_topk_uses_take_ordered(no_aqe):
     assert "TakeOrderedAndProject" in plan(dct.rank_dictionary(counts, 100))
 
 
-def test_per_document_work_on_checkpointed_tf_needs_no_shuffle(spark):
-    """With AQE on (the default), the checkpointed TF still advertises its
-    doc_id partitioning, so the GD window, the vector grouping and the
-    distinct count over documents plan without a doc_id exchange."""
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    p = pipeline(spark, SF001, Preset(prefix="EN", k=3000))
-    t = p.tf_train()
-    data = materialize(gd.labelled_tf(t, "EN"), "cache", keep_partitioning=True)
-    rows = gd._scores(spark, data, np.ones(p.size))
-    per_doc = Window.partitionBy("doc_id")
-    g = rows.select("pos", F.sum(F.col("tf") * F.col("w")).over(per_doc).alias("th")) \
-        .groupBy("pos").agg(F.sum("th"))
-    for df in (g, tf.tf_vectors(t, p.size, "EN"), t.select("doc_id").distinct()):
-        assert "Exchange hashpartitioning(doc_id" not in plan(df)
-    data.unpersist()
+def test_stored_tf_is_read_pruned_and_per_document_work_needs_no_shuffle(no_aqe):
+    """The stored TF rows hold one document each: scores, vectors and
+    predictions plan without an exchange and every reader takes only the
+    columns it uses."""
+    p = pipeline(no_aqe, SF001, Preset(prefix="EN", k=3000))
+    rows = p.rows("train")
+    weights = np.full(p.size, 0.01)
+    for df in (gd.predict_gd(rows, gd.GdModel(weights=weights), "EN"),
+               tf.tf_vectors(rows, p.size, "EN"), tf.selected_vectors(rows, p.selected, p.m_size, "EN")):
+        text = plan(df)
+        assert "Exchange" not in text and "ReadSchema: struct<doc_id:string,pos:array<int>,tf:array<double>>" in text
+    stats = plan(selection.feature_stats(rows, 10))
+    assert "ReadSchema: struct<pos:array<int>,tf:array<double>>" in stats
+    assert stats.count("Exchange") == 1 and "partial_sum" in stats
+
+
+def test_gradient_pass_shuffles_once_after_coalescing(no_aqe):
+    """A pass scores, then combines gradients in the coalesced tasks: one
+    exchange, of at most tasks x K rows, and no window or join."""
+    p = pipeline(no_aqe, SF001, Preset(prefix="EN", k=3000))
+    text = plan(gd.gradient_sums(p.rows("train"), np.full(p.size, 0.01), "EN", 4))
+    assert text.count("Exchange") == 1 and "Window" not in text and "Join" not in text
+    assert "partial_sum" in text[text.index("Exchange"):] and "Coalesce 4" in text[text.index("partial_sum"):]
 
 
 def test_hot_document_id_is_exact(spark):

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from termflow.operators import evaluate
-from termflow.plans.classify import pipeline
+from termflow.plans.catalog import shared_pipeline as pipeline
 from termflow.plans.run import main
 from termflow.session import scratch_path
 from termflow.sources.corpus import documents_as_lines, write_doc_lines

@@ -1,7 +1,9 @@
 import numpy as np
+from pyspark.ml.linalg import SparseVector
 
 from termflow.operators import selection
-from termflow.plans.classify import Preset, pipeline
+from termflow.plans.catalog import shared_pipeline as pipeline
+from termflow.plans.classify import Preset
 
 from conftest import SF001
 
@@ -16,7 +18,7 @@ def dense(rows, n_docs_ids, size, col="pos"):
 
 def test_stats_and_selection_match_dense_numpy(spark):
     p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
-    rows = p.tf_train().collect()
+    rows = p.tf_long("train").collect()
     docs = {r.doc_id for r in rows}
     x, _ = dense(rows, docs, p.size)
     mean = x.sum(axis=0) / len(docs)
@@ -25,7 +27,7 @@ def test_stats_and_selection_match_dense_numpy(spark):
     assert len(stats) == p.size
     assert max(abs(stats[i].ss - ss[i]) for i in range(p.size)) < 1e-9
     assert max(abs(stats[i].mean_tf - mean[i]) for i in range(p.size)) < 1e-12
-    key = np.round(ss, 12)
+    key = np.array([float(f"{v:.9e}") for v in ss])
     order = sorted(range(p.size), key=lambda i: (-key[i], i))[:300]
     got = [r.pos for r in p.selected.orderBy("new_pos").collect()]
     assert got == order
@@ -34,7 +36,7 @@ def test_stats_and_selection_match_dense_numpy(spark):
 def test_apply_selection_keeps_training_order_unnormalised(spark):
     p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
     sel = {r.pos: r.new_pos for r in p.selected.collect()}
-    full = {(r.doc_id, r.pos): r.tf for r in p.tf_test().collect()}
+    full = {(r.doc_id, r.pos): r.tf for r in p.tf_long("test").collect()}
     red = {(r.doc_id, r.new_pos): r.tf for r in p.tf_reduced("test").collect()}
     expect = {(d, sel[pos]): v for (d, pos), v in full.items() if pos in sel}
     assert red == expect
@@ -43,24 +45,34 @@ def test_apply_selection_keeps_training_order_unnormalised(spark):
 def test_vector_slicer_equals_long_form_selection(spark):
     from termflow.operators import tf as tfo
     p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
-    full = tfo.tf_vectors(p.tf_test(), p.size, "EN")
+    full = tfo.tf_vectors(p.rows("test"), p.size, "EN")
     sliced = {r.doc_id: r.features for r in selection.slice_vectors(full, p.selected).collect()}
-    via_long = {r.doc_id: r.features for r in
-                tfo.tf_vectors(p.tf_reduced("test"), 300, "EN", pos_col="new_pos").collect()}
+    via_long: dict = {}
+    for r in p.tf_reduced("test").collect():
+        via_long.setdefault(r.doc_id, {})[r.new_pos] = r.tf
     # documents whose selected entries are all zero have no reduced TF row
     assert set(via_long) <= set(sliced)
     for doc, v in sliced.items():
-        if doc in via_long:
-            assert v.size == 300 and v == via_long[doc]
-        else:
-            assert v.numNonzeros() == 0
+        assert v == SparseVector(300, via_long.get(doc, {}))
 
 
 def test_selected_vectors_equal_vector_slicer(spark):
     from termflow.operators import tf as tfo
     p = pipeline(spark, SF001, Preset(prefix="EN", m=300))
-    full = tfo.tf_vectors(p.tf_test(), p.size, "EN")
+    full = tfo.tf_vectors(p.rows("test"), p.size, "EN")
     sliced = {r.doc_id: (r.label, r.features) for r in selection.slice_vectors(full, p.selected).collect()}
     direct = {r.doc_id: (r.label, r.features)
-              for r in tfo.selected_vectors(p.tf_test(), p.selected, 300, "EN").collect()}
+              for r in tfo.selected_vectors(p.rows("test"), p.selected, 300, "EN").collect()}
     assert direct == sliced
+
+
+def test_variances_of_any_magnitude_are_ranked_apart(spark):
+    """Features of very long documents have tiny variances: they keep their
+    order, while sums that differ in their last bits only are ties."""
+    stats = spark.createDataFrame([(0, 1e-20), (1, 3e-20), (2, 2e-20), (3, 0.1 + 0.2), (4, 0.3), (5, 0.0)],
+                                  "pos int, ss double")
+    got = [r.pos for r in selection.select_by_variance(stats, 6, mode="none").orderBy("new_pos").collect()]
+    assert got == [3, 4, 1, 2, 0, 5]
+    got = [r.pos for r in selection.select_by_variance(
+        stats.replace({0.1 + 0.2: 0.3, 0.3: 0.1 + 0.2}, subset="ss"), 2, mode="none").orderBy("new_pos").collect()]
+    assert got == [3, 4]

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from termflow.plans.classify import pipeline
+from termflow.plans.catalog import shared_pipeline as pipeline
 from termflow.session import scratch_path
 from termflow.sources.corpus import documents_as_lines
 from termflow.streaming.scoring import score_lines_stream
@@ -29,7 +29,7 @@ def test_stream_scores_like_batch(spark):
 def test_stream_scores_spark_ml_model_like_batch(spark):
     from termflow.operators import ml
     p = pipeline(spark, SF001)
-    train, _, _ = p.ml_vectors("reduced")
+    train, _ = p.ml_vectors("reduced")
     model = ml.fit_svc(train)
     lines = documents_as_lines(spark, SF001).where(F.col("src_id") % 5 == 0).select("value")
     src = scratch_path(spark, "stream-src-ml")

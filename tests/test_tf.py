@@ -27,7 +27,7 @@ def test_tf_values_and_sum_to_one(spark):
 def test_document_without_dictionary_word_drops_out(spark):
     d = _dict(spark)
     test_docs = docs_frame(spark, [("X1", "zebra only"), ("X2", "apple zebra")])
-    t = tf.tf_long(test_docs, d, 3)
+    t = tf.tf_rows(test_docs, d, 3)
     assert {r.doc_id for r in t.collect()} == {"X2"}
     rep = tf.dropped_documents(test_docs, t).first()
     assert (rep.n_docs, rep.n_with_tf, rep.n_dropped) == (2, 1, 1)
@@ -42,8 +42,8 @@ def test_repeated_ids_merge(spark):
 
 def test_vectors_equal_long_form(spark):
     d = _dict(spark)
-    long = tf.tf_long(docs_frame(spark, TRAIN), d, 3)
-    vecs = {r.doc_id: (r.label, r.features) for r in tf.tf_vectors(long, 3, "AU").collect()}
+    rows = tf.tf_rows(docs_frame(spark, TRAIN), d, 3)
+    vecs = {r.doc_id: (r.label, r.features) for r in tf.tf_vectors(rows, 3, "AU").collect()}
     assert vecs["AU1"] == (1.0, SparseVector(3, {0: 2 / 3, 2: 1 / 3}))
     assert vecs["EN3"][0] == 0.0
     assert vecs["EN3"][1] == SparseVector(3, {0: 1 / 3, 1: 2 / 3})
@@ -56,22 +56,32 @@ def test_partition_count_does_not_change_tf(spark):
     assert a == b
 
 
-def test_doc_partitions_follow_cluster_sizing(spark):
-    assert tf.doc_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
-    try:
-        assert tf.doc_partitions(spark) == 64
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+def test_lookup_is_broadcast_by_its_measured_bytes(spark, monkeypatch):
+    """Few rows with long words are not small; the shuffle join gives the same
+    counts."""
     d = _dict(spark)
-    assert tf.tf_long(docs_frame(spark, TRAIN), d, 3, partitions=5).rdd.getNumPartitions() == 5
+    docs = docs_frame(spark, TRAIN)
+    plan = lambda df: df._jdf.queryExecution().toString()
+    small = tf.position_counts(docs, d, 3)
+    assert "strategy=broadcast" in plan(small)
+    monkeypatch.setattr(tf.params, "BROADCAST_MAX_BYTES", 32 * 3 + 10)  # the rows fit, the words do not
+    large = tf.position_counts(docs, d, 3)
+    assert "strategy=broadcast" not in plan(large)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_row_arrays_are_sorted_and_aligned(spark):
+    d = _dict(spark)  # apple 0, cherry 1, banana 2
+    rows = {r.doc_id: (r.pos, r.n, r.tf) for r in tf.tf_rows(docs_frame(spark, TRAIN), d, 3).collect()}
+    assert rows["AU1"] == ([0, 2], [2, 1], [2 / 3, 1 / 3])
+    assert rows["EN3"] == ([0, 1], [1, 2], [1 / 3, 2 / 3])
 
 
 def test_selected_vectors_keep_documents_without_selected_words(spark):
     from pyspark.ml.linalg import SparseVector
     d = _dict(spark)  # apple 0, cherry 1, banana 2
     docs = docs_frame(spark, [("AU9", "banana banana"), ("EN9", "apple banana cherry")])
-    t = tf.tf_long(docs, d, 3)
+    t = tf.tf_rows(docs, d, 3)
     selected = spark.createDataFrame([(0, 1), (1, 0)], "new_pos int, pos int")  # cherry, apple
     got = {r.doc_id: (r.label, r.features) for r in tf.selected_vectors(t, selected, 2, "AU").collect()}
     assert got["AU9"] == (1.0, SparseVector(2, {}))                       # kept, all zero
