@@ -21,6 +21,12 @@ holds the parity of the shingles in it, and the number of bits that differ is
 at most the number of shingles that do, so a pair over the bound is no link.
 Pairs that pass are tested on their whole sets.
 
+Components are then known, and links are counted: all classes of a component
+of three or more are compared with each other on their whole sets, in cells,
+each of which gives counts and no pairs. A component above ``CELL`` classes
+whose signature groups hold fewer pairs than it does (a long chain) is compared
+group by group instead, and its links are made distinct before they are counted.
+
 Defined results: null, empty and blank texts have no shingles and are a
 component of their own; with fewer than five words the whole sequence is the
 one shingle. Equal sets are one class whatever their number. Repeated rows give
@@ -54,6 +60,8 @@ WIDTH = 4
 #: Ratio of a band's largest to its smallest set, signing levels, and members
 #: of a signature group that one cell compares pairwise.
 RATIO, LEVELS, CELL = 1.5625, 4, 2_000
+#: Shingles of a block of a cell that compares whole sets.
+CELL_SHINGLES = 1 << 18
 
 _U = np.uint64
 
@@ -336,18 +344,129 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"))
 
 
+def _whole_cells(batches):
+    """Rows (key, ci, cj, ...) in that order -> a table for each cell."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(k).to_numpy() for k in range(3)])
+        cuts = (np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist()
+        for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            if held and (last != key[:, lo]).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = key[:, lo]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _cell_links(table):
+    """(row, rows it is linked to) of a cell (key, ci, cj, blk, c, members),
+    each link once: between its two blocks, or within its one."""
+    ci, cj = table.column(1)[0].as_py(), table.column(2)[0].as_py()
+    blk = table.column(3).to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in table.column(5).to_pylist()]
+    n = np.array([len(s) for s in sets], np.int64)
+    found, number = np.unique(np.concatenate(sets), return_inverse=True)
+    rows = np.split(number, np.cumsum(n)[:-1])
+    order = np.argsort(n, kind="stable")
+    left, right = order[blk[order] == ci], order[blk[order] == cj]
+    if not len(left) or not len(right):
+        return
+    n_right = n[right]
+    numbers = np.concatenate([rows[k] for k in right])
+    offs = np.concatenate([[0], np.cumsum(n_right)])
+    present = np.zeros(len(found), bool)
+    for at, i in enumerate(left):
+        lo = at + 1 if ci == cj else int(np.searchsorted(n_right, -(-PERCENT * n[i] // 100)))
+        hi = int(np.searchsorted(n_right, 100 * n[i] // PERCENT, "right"))
+        if lo >= hi:
+            continue
+        present[rows[i]] = True
+        both = np.add.reduceat(present[numbers[offs[lo]:offs[hi]]], offs[lo:hi] - offs[lo], dtype=np.int64)
+        present[rows[i]] = False
+        ok = 100 * both >= PERCENT * (n[i] + n_right[lo:hi] - both)
+        if ok.any():
+            yield i, right[lo:hi][ok]
+
+
+def _count_links(batches):
+    """Cells -> (c, number of its links in the cell)."""
+    for table in _whole_cells(batches):
+        count = np.zeros(table.num_rows, np.int64)
+        for i, js in _cell_links(table):
+            count[i] += len(js)
+            count[js] += 1
+        yield pa.RecordBatch.from_arrays([table.column(4).combine_chunks(), pa.array(count)], ["c", "n_links"]).filter(
+            pa.array(count > 0))
+
+
+def _list_links(batches):
+    """Cells -> the links (a, b) in them."""
+    for table in _whole_cells(batches):
+        c = table.column(4).to_numpy()
+        for i, js in _cell_links(table):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(c[i], c[js])), pa.array(np.maximum(c[i], c[js]))],
+                                             ["a", "b"])
+
+
+def _dealt(rows: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` (key, c) with their sets, in cells of two blocks of their key;
+    ``sizes`` has (key, m, shingles)."""
+    parts = F.ceil(F.greatest(F.col("m") / CELL, F.col("shingles") / CELL_SHINGLES)).cast("int")
+    return (rows.join(sizes.select("key", parts.alias("parts")), "key").join(sets.select("c", "members"), "c")
+            .withColumn("blk", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int"))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("key", F.least("blk", "o").alias("ci"), F.greatest("blk", "o").alias("cj"), "blk", "c", "members")
+            .repartition("key", "ci", "cj").sortWithinPartitions("key", "ci", "cj"))
+
+
+def count_links(component: DataFrame, sets: DataFrame, shared: DataFrame) -> DataFrame:
+    """(c, n_links) of every class of ``component`` (c, component)."""
+    spark = component.sparkSession
+    rows = component.select("c", F.col("component").alias("key"))
+    extent = (F.count("*").alias("m"), F.sum(F.col("n").cast("long")).alias("shingles"))
+    sizes = written(rows.join(sets.select("c", "n"), "c").groupBy("key").agg(*extent), "component-sizes")
+    two = rows.join(sizes.where("m = 2"), "key").select("c", F.lit(1).cast("long").alias("n_links"))
+    crowds, counts = sizes.where("m > 2"), two
+    large = sizes.where(F.col("m") > CELL)
+    if not large.isEmpty():
+        pairs = F.col("m").cast("double") * (F.col("m") - 1)
+        inside = rows.join(large.select("key"), "key").join(shared, "c").select("key", "sig", "c", "n")
+        groups = written(inside.groupBy("key", "sig").agg(*extent).where("m > 1"), "component-groups")
+        chains = written(groups.groupBy("key").agg(F.sum(pairs).alias("grouped"))
+                         .join(large.select("key", pairs.alias("all")), "key").where("grouped < all").select("key"), "chains")
+        crowds = crowds.join(chains, "key", "left_anti")
+        name = F.xxhash64("key", "sig").alias("key")
+        links = _dealt(inside.join(chains, "key", "left_semi").select(name, "c"),
+                       groups.join(chains, "key", "left_semi").select(name, "m", "shingles"), sets
+                       ).mapInArrow(_list_links, "a long, b long")
+        links = written(links.distinct(), "chain-links")
+        counts = counts.union(links.select(F.col("a").alias("c")).union(links.select(F.col("b").alias("c")))
+                              .groupBy("c").agg(F.count("*").alias("n_links")))
+    in_cells = _dealt(rows, crowds, sets).mapInArrow(_count_links, "c long, n_links long")
+    counts = written(counts.union(in_cells.groupBy("c").agg(F.sum("n_links").alias("n_links"))), "link-counts")
+    release(spark)
+    return counts
+
+
 def _sets_of(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(c, members) of the classes in ``pairs``, each from one document."""
+    """(c, members, n) of the classes in ``pairs``, each from one document."""
     wanted = (pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
               .join(classes.select("c", "head"), "c").select("c", "head.doc_id", "head.tid"))
     wanted = written(wanted.withColumnRenamed("doc_id", "want_id"), "wanted")
     # Merged at any size: which side is small must not change the plan as the corpus grows.
     return written(source.join(wanted.hint("merge"), "tid").where(F.col("doc_id").eqNullSafe(F.col("want_id"))).select("c", "text")
-                   .mapInArrow(_fetch_sets, "c long, members binary").dropDuplicates(["c"]), "sets")
+                   .mapInArrow(_fetch_sets, "c long, members binary").dropDuplicates(["c"])
+                   .withColumn("n", (F.octet_length("members") / 8).cast("int")), "sets")
 
 
-def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents (doc_id, n, c), links (a, b) between classes c)."""
+def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(documents (doc_id, n, c), links (a, b) between classes c that make the
+    components, sets (c, members, n) of all linked classes, signatures (sig, c,
+    n) of two classes or more)."""
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     source = source.withColumn("tid", F.xxhash64("text"))
@@ -371,7 +490,8 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     side = lambda c, n, s: classes.select(F.col("c").alias(c), F.col("n").alias(n), F.col("sketch").alias(s))
     likely = written(star.join(side("a", "na", "ska"), "a").join(side("b", "nb", "skb"), "b")
                      .select("a", "b", "na", "nb", "ska", "skb").mapInArrow(_sketch_filter, "a long, b long"), "stars")
-    links = written(_links(likely, _sets_of(source, classes, likely)), "star-links")
+    sets = _sets_of(source, classes, likely)
+    links = written(_links(likely, sets), "star-links")
     release(spark)
 
     # The rest: members of one group that are still in different components.
@@ -390,17 +510,18 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                    .mapInArrow(_cell_pairs, "a long, b long").distinct(), "rest")
     release(spark)
     if not rest.isEmpty():
-        links = links.union(written(_links(rest, _sets_of(source, classes, rest)), "rest-links"))
-    return members.select("doc_id", "n", "c"), links
+        more = _sets_of(source, classes, rest)
+        links = links.union(written(_links(rest, more), "rest-links"))
+        sets = sets.union(more.join(sets.select("c"), "c", "left_anti"))
+    return members.select("doc_id", "n", "c"), links, sets, shared
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links): n_links counts the classes
     of other texts that the document's class is linked to."""
-    members, links = similarity_classes(docs)
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    degree = both.groupBy(F.col("a").alias("c")).agg(F.count("*").alias("n_links"))
-    component = connected_components(links).select(F.col("node").alias("c"), "component")
+    members, links, sets, shared = similarity_classes(docs)
+    component = written(connected_components(links).select(F.col("node").alias("c"), "component"), "components")
+    degree = count_links(component, sets, shared)
     lowest = members.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("low"))
     placed = (lowest.join(component, "c", "left").withColumn("component", F.coalesce("component", "c"))
               .join(degree, "c", "left"))

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from llm_support import SF001, documents, odd  # noqa: F401
 from termflow.llm import jaccard_join as jj
 
@@ -103,3 +104,42 @@ def test_linked_sets_share_a_signature_and_pass_the_sketch():
             assert set(sa.tolist()) & set(sb.tolist()) or a.tobytes() == b.tobytes()
             n = np.array([len(a)]), np.array([len(b)])
             assert jj.within_bound([jj.sketch(a)], [jj.sketch(b)], *n)[0]
+
+
+def brute_links(rows):
+    """(doc_id, number of different sets that its set is linked to)."""
+    sets = {i: frozenset(shingles(t)) for i, t in rows}
+    different = {s for s in sets.values() if s}
+    links = {s: sum(o != s and 100 * len(s & o) >= 80 * len(s | o) for o in different) for s in different}
+    return {i: links.get(s, 0) for i, s in sets.items()}
+
+
+def links_of(df):
+    return {r.doc_id: r.n_links for r in df.collect()}
+
+
+def test_links_of_three_near_copies(documents):  # noqa: F811
+    """Two copies that each change one word of a text are linked too."""
+    base = ["w%d" % k for k in range(204)]
+    rows = [(0, " ".join(base)), (1, " ".join(["x", *base[1:]])), (2, " ".join([*base[:-1], "y"]))]
+    assert links_of(jj.near_duplicates(documents(rows))) == {0: 2, 1: 2, 2: 2} == brute_links(rows)
+
+
+@pytest.mark.parametrize("cell,block", [(2000, 1 << 18), (7, 900)])
+def test_links_of_groups_and_chains(documents, monkeypatch, cell, block):  # noqa: F811
+    """Groups of many near copies, some not alike among themselves, equal
+    texts, and a chain; whole, and in cells and by signature groups."""
+    monkeypatch.setattr(jj, "CELL", cell)
+    monkeypatch.setattr(jj, "CELL_SHINGLES", block)
+    rng, rows = random.Random(5), []
+    for size, share in ((30, 0.01), (90, 0.01), (200, 0.008), (204, 0.015), (60, 0.03)):
+        base = ["w%d" % rng.randrange(10**6) for _ in range(size)]
+        rows += [" ".join(edited(rng, base, share)) for _ in range(25)]
+        rows += [" ".join(base)] * 3
+    long = ["c%d" % rng.randrange(10**6) for _ in range(300)]
+    rows += [" ".join(long[k:k + 40]) for k in range(0, 260, 4)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    want = brute_links(rows)
+    assert links_of(jj.near_duplicates(documents(rows))) == want
+    assert max(want.values()) > 15 and sum(v == 2 for v in want.values()) > 40
