@@ -36,12 +36,17 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate component. Ids name
-    documents; rows without an id stay when no row with one is like them."""
-    heads = (jaccard_join.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("head")).distinct())
+    """One row of each near-duplicate component: of smallest id (rows without
+    an id last), then of smallest text hash, and of rows equal in both the one
+    whose other columns are smallest. Rows without words all stay."""
+    heads = jaccard_join.representatives(docs).select(F.col("doc_id").alias("head"), F.col("tid").alias("__tid"), "copies")
     heads = written(heads, "heads").hint("merge")
-    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("head")), "left_semi").select(*COLUMNS)
+    of_head = (F.xxhash64(F.col("text").cast("string")) == F.col("__tid")) & F.col("doc_id").eqNullSafe(F.col("head"))
+    found = written(docs.select(*COLUMNS).join(heads, of_head).select(*COLUMNS, "__tid", "copies"), "found")
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    smallest = F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")
+    one = found.where("copies > 1").groupBy("doc_id", "__tid").agg(smallest)
+    return found.where("copies = 1").select(*COLUMNS).union(one.select("doc_id", *[f"row.{c}" for c in rest]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

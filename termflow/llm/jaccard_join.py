@@ -464,7 +464,7 @@ def _sets_of(source: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
 
 
 def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(documents (doc_id, n, c), links (a, b) between classes c that make the
+    """(documents (doc_id, n, c, tid), links (a, b) between classes c that make the
     components, sets (c, members, n) of all linked classes, signatures (sig, c,
     n) of two classes or more)."""
     spark = docs.sparkSession
@@ -513,7 +513,22 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
         more = _sets_of(source, classes, rest)
         links = links.union(written(_links(rest, more), "rest-links"))
         sets = sets.union(more.join(sets.select("c"), "c", "left_anti"))
-    return members.select("doc_id", "n", "c"), links, sets, shared
+    return members.select("doc_id", "n", "c", "tid"), links, sets, shared
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """(doc_id, tid, copies) of the row that stands for each component, tid
+    being its text's hash: the smallest id, none last, then the smallest hash.
+    ``copies`` rows share both. Rows without shingles stand for themselves
+    (copies 1)."""
+    members, links, _, _ = similarity_classes(docs)
+    component = connected_components(links).select(F.col("node").alias("c"), "component")
+    same = members.where("n > 0").groupBy("c", "doc_id", "tid").agg(F.count("*").alias("copies"))
+    lowest = same.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid", "copies")).alias("head"))
+    heads = (lowest.join(component, "c", "left").groupBy(F.coalesce("component", "c").alias("component"))
+             .agg(F.min("head").alias("head")).select("head.doc_id", "head.tid", "head.copies"))
+    blank = members.where("n = 0").select("doc_id", "tid").distinct()
+    return heads.union(blank.withColumn("copies", F.lit(1).cast("long")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -39,3 +39,28 @@ def test_stages_take_odd_rows(spark, odd, documents):  # noqa: F811
                 assert out.columns == list(cp.COLUMNS) and out.count() <= len(rows)
             else:
                 assert out.count() == frame.count()
+
+
+def test_one_row_of_each_component_stays(spark, documents):  # noqa: F811
+    """Repeated rows, ids that head another component, rows without an id, and
+    rows without words."""
+    def pair(name):
+        words = [f"{name}{k}" for k in range(80)]
+        return " ".join(words), " ".join([*words[:-1], "other"])
+    a, a2 = pair("a")
+    b, _ = pair("b")
+    c, c2 = pair("c")
+    d, _ = pair("d")
+    e, e2 = pair("e")
+    rows = [(1, a), (2, a2), (2, b), (3, d), (3, d), (3, d), (None, c2), (7, c), (None, e), (None, e2), (None, e),
+            (8, ""), (8, ""), (None, None), (None, " ")]
+    out = [(r.doc_id, r.text) for r in cp.keep_one_of_each(spark, documents(rows), SF001).collect()]
+    heads = sorted((x for x in out if x[1] not in (e, e2)), key=str)
+    assert heads == sorted([(1, a), (2, b), (3, d), (7, c), (8, ""), (8, ""), (None, None), (None, " ")], key=str)
+    assert len(out) == len(heads) + 1
+
+
+def test_equal_id_and_text_leave_the_smallest_row(spark, documents):  # noqa: F811
+    docs = documents([(4, "one two three four five six")])
+    both = docs.union(docs.selectExpr("doc_id", "text", "lang", "'a' as source", "n_chars"))
+    assert [r.source for r in cp.keep_one_of_each(spark, both, SF001).collect()] == ["a"]
