@@ -15,7 +15,7 @@ from termflow.plans.classify import (DOCUMENTS_PREFIX, Pipeline, Preset, metrics
                                      pipeline_from_lines, round_doubles, timed_run)
 from termflow.session import scratch_path
 from termflow.sources import sinks
-from termflow.sources.corpus import (documents_as_lines, read_doc_lines, read_table,
+from termflow.sources.corpus import (documents_as_lines, on_test_side, read_doc_lines, read_table,
                                      write_doc_lines)
 
 # Presets of the registered queries (see FIXTURES.md).
@@ -285,7 +285,7 @@ def q_lines_gd_confusion(spark, sf_dir):
     and the whole dictionary -> TF -> gradient descent -> confusion pipeline
     runs on the parsed lines. Equal to ``gd_confusion`` on the table."""
     lines = documents_as_lines(spark, sf_dir)
-    is_test = (F.col("src_id") % F.lit(MAIN.test_every)) == 0
+    is_test = on_test_side(MAIN.test_every)
     train_path, test_path = scratch_path(spark, "train-lines"), scratch_path(spark, "test-lines")
     write_doc_lines(lines.where(~is_test), train_path)
     write_doc_lines(lines.where(is_test), test_path)

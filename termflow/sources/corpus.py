@@ -44,11 +44,13 @@ def one_line(text: Column) -> Column:
 
 
 def documents_as_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(src_id, value) with value = ``<doc id=".." url=".." title="..">body</doc>``."""
+    """(src_id, value) with value = ``<doc id=".." url=".." title="..">body</doc>``.
+    A row without an id has an empty one in its line, as a key needs both parts."""
     docs = read_table(spark, sf_dir, "documents")
-    src = F.col("doc_id").cast("string")
+    src = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.coalesce(document_key(F.col("lang"), F.col("doc_id")), F.lit(""))
     value = F.concat(
-        F.lit('<doc id="'), document_key(F.col("lang"), F.col("doc_id")),
+        F.lit('<doc id="'), key,
         F.lit('" url="doc://'), F.col("source"), F.lit("/"), src,
         F.lit('" title="'), F.col("source"), F.lit(" "), src,
         F.lit('">'), one_line(F.col("text")), F.lit(params.DOC_CLOSE),
@@ -68,12 +70,17 @@ def write_doc_lines(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("errorifexists").text(path)
 
 
+def on_test_side(test_every: int = 5) -> Column:
+    """Whether a row with ``src_id`` is a test row; without an id it is not."""
+    return F.coalesce((F.col("src_id") % F.lit(test_every)) == 0, F.lit(False))
+
+
 def split_corpus(docs: DataFrame, test_every: int = 5) -> tuple[DataFrame, DataFrame]:
     """Train / test split of one table: a document goes to the test side iff
     ``src_id % test_every == 0``; a row without an id is a training row. Every
     row lands on exactly one side; the reference instead receives two separate
     corpora."""
-    is_test = F.coalesce((F.col("src_id") % F.lit(test_every)) == 0, F.lit(False))
+    is_test = on_test_side(test_every)
     train = docs.where(~is_test).select("doc_id", "text")
     test = docs.where(is_test).select("doc_id", "text")
     return train, test
