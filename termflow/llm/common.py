@@ -137,3 +137,18 @@ def append_columns(df: DataFrame, source: str, compute, added: list[tuple[str, s
     extra = StructType.fromDDL(", ".join(f"n{k} {kind}" for k, (_, kind) in enumerate(added)))
     out = plain.mapInArrow(run, StructType([*fields, *extra.fields]))
     return out.toDF(*kept, *[name for name, _ in added])
+
+
+def pick(df: DataFrame, *names: str) -> DataFrame:
+    """Exactly these columns of ``df``, also where others differ from them only
+    in case, repeat, or hold dots. A name that only occurs in another case is
+    taken in that case."""
+    at: dict[str, int] = {}
+    for name in names:
+        exact = [k for k, c in enumerate(df.columns) if c == name]
+        near = [k for k, c in enumerate(df.columns) if c.lower() == name.lower()]
+        if not exact + near:
+            raise ValueError(f"no column {name} among {df.columns}")
+        at[name] = (exact + near)[0]
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    return plain.select(*[F.col(f"c{k}").alias(name) for name, k in at.items()])

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, secret_scan, suffix_dedup,
-               url_filter, warc)
+from . import (bpe, decontaminate, jaccard_join, line_dedup, merkle, quality_classifier, quality_rules, secret_scan,
+               suffix_dedup, url_filter, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in the manifest, checked after tampering."""
+    return merkle.verify(merkle.proofs(*merkle.manifest(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_url_filter": op2_url_filter,
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _LINES = """
