@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, jaccard_join, line_dedup, merkle, quality_classifier, quality_rules, secret_scan,
+from . import (bpe, decontaminate, importance, jaccard_join, line_dedup, merkle, quality_classifier, quality_rules, secret_scan,
                suffix_dedup, url_filter, warc)
 
 
@@ -87,6 +87,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document weighed towards the benchmark, the drawn ones ranked."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf and proof in the manifest, checked after tampering."""
     return merkle.verify(merkle.proofs(*merkle.manifest(_table(spark, sf_dir, "documents"))))
@@ -103,6 +108,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_importance": op11_importance,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
