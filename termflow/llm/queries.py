@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, importance, jaccard_join, line_dedup, merkle, quality_classifier, quality_rules, secret_scan,
-               suffix_dedup, url_filter, warc)
+from . import (bpe, decontaminate, importance, jaccard_join, line_dedup, merkle, nn_descent, quality_classifier,
+               quality_rules, secret_scan, suffix_dedup, url_filter, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,11 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest other vectors of every vector whose id 50 divides."""
+    return nn_descent.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf and proof in the manifest, checked after tampering."""
     return merkle.verify(merkle.proofs(*merkle.manifest(_table(spark, sf_dir, "documents"))))
@@ -109,6 +114,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_importance": op11_importance,
+    "op12_nn_descent": op12_nn_descent,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
