@@ -2,9 +2,12 @@
 
 The reference makes three passes over dense 20k-wide rows (count, sum, sum of
 squared deviations). Here one aggregation of the exploded TF arrays by ``pos``
-gives the sum and the sum of squares; absent entries are zeros and contribute nothing to
-either. The un-normalised variance is
-``ss = sum((x - mean)^2) = sum(x^2) - sum(x)^2 / n`` (S18: no division by n).
+gives the central moments of the non-zeros: their number, sum and squared
+deviations m2 from their own mean. Partial aggregates of such moments merge
+without ever subtracting sums of squares, so a nearly constant feature keeps
+its digits. The ``n - nnz`` absent entries are zeros; merging them in gives the
+un-normalised variance (S18: no division by n)
+``ss = sum((x - mean)^2) = m2 + mean_nz^2 * nnz * (n - nnz) / n``.
 """
 
 from __future__ import annotations
@@ -17,20 +20,39 @@ from termflow.operators.tf import count_documents, entries, is_small
 from termflow.session import materialize
 
 
+def feature_moments(rows: DataFrame) -> DataFrame:
+    """(pos, nnz, sum_tf, m2) of the non-zeros, in one pass that reads ``pos``
+    and ``tf`` alone; partial aggregation leaves at most K rows per task for
+    the shuffle."""
+    nnz = F.count(F.lit(1))
+    return entries(rows).groupBy(F.col("pos").cast("int").alias("pos")).agg(
+        nnz.alias("nnz"), F.sum("tf").alias("sum_tf"), (F.var_pop("tf") * nnz).alias("m2"))
+
+
+def merge_moments(parts: DataFrame) -> DataFrame:
+    """One row per position of moments (pos, nnz, sum_tf, m2) taken over
+    disjoint parts of the documents, such as yesterday's corpus and today's:
+    ``m2`` grows by each part's squared distance from the common mean."""
+    at = Window.partitionBy("pos")
+    mean = F.sum("sum_tf").over(at) / F.sum("nnz").over(at)
+    shift = F.col("sum_tf") / F.col("nnz") - F.col("mean")
+    return parts.withColumn("mean", mean).groupBy("pos").agg(
+        F.sum("nnz").alias("nnz"), F.sum("sum_tf").alias("sum_tf"),
+        F.sum(F.col("m2") + F.col("nnz") * shift * shift).alias("m2"))
+
+
+def stats_from_moments(moments: DataFrame, n_docs: int) -> DataFrame:
+    """AG7/AG8: (pos, sum_tf, mean_tf, ss) over ``n_docs`` documents, those
+    without the feature included as zeros."""
+    n, nnz = F.lit(float(n_docs)), F.col("nnz").cast("double")
+    mean_nz = F.col("sum_tf") / nnz
+    return moments.select("pos", "sum_tf", (F.col("sum_tf") / n).alias("mean_tf"),
+                          (F.col("m2") + mean_nz * mean_nz * nnz * (n - nnz) / n).alias("ss"))
+
+
 def feature_stats(rows: DataFrame, n_docs: int | None = None) -> DataFrame:
-    """AG6-AG8: (pos, sum_tf, mean_tf, ss) in one pass that reads ``pos`` and
-    ``tf`` alone; partial aggregation leaves at most K rows per task for the
-    shuffle."""
-    n = count_documents(rows) if n_docs is None else n_docs
-    nl = F.lit(float(n))
-    sums = entries(rows).groupBy("pos").agg(F.sum("tf").alias("sum_tf"),
-                                 F.sum(F.col("tf") * F.col("tf")).alias("sum_sq"))
-    return sums.select(
-        F.col("pos").cast("int").alias("pos"),
-        "sum_tf",
-        (F.col("sum_tf") / nl).alias("mean_tf"),
-        (F.col("sum_sq") - F.col("sum_tf") * F.col("sum_tf") / nl).alias("ss"),
-    )
+    """AG6-AG8: (pos, sum_tf, mean_tf, ss)."""
+    return stats_from_moments(feature_moments(rows), count_documents(rows) if n_docs is None else n_docs)
 
 
 def select_by_variance(stats: DataFrame, m: int = params.SELECTED_FEATURES,
