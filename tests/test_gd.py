@@ -3,7 +3,9 @@ import math
 import numpy as np
 import pytest
 
-from termflow.operators import gd
+from pyspark.sql import functions as F
+
+from termflow.operators import blocks, gd
 from termflow.operators import dictionary as dct
 from termflow.operators import tf
 from termflow.plans.catalog import shared_pipeline as pipeline
@@ -110,3 +112,62 @@ def test_constant_array_is_exact(spark):
     values = np.array([0.1, -1e-300, 1 / 3, 1e22, 0.0, 5e-324])
     row = spark.range(1).select(tf.constant_array(values, "double").alias("v")).first()
     assert row.v == values.tolist()
+
+
+def test_tree_of_tasks_sums_what_one_task_sums(spark, monkeypatch):
+    p = pipeline(spark, SF001, Preset(prefix="EN", k=300))
+    weights = np.random.default_rng(1).normal(size=p.size)
+    one = blocks.sums(blocks.pack(p.rows("train").coalesce(1), F.lit(1)), weights, 1, 0.3)
+    monkeypatch.setattr(blocks, "BLOCK_ENTRIES", 50)
+    monkeypatch.setattr(blocks, "FANIN", 2)
+    packed = blocks.pack(p.rows("train").repartition(9), F.lit(1))
+    many = blocks.sums(packed, weights, 9, 0.3)
+    assert packed.count() > 50 and many.n == one.n == p.counts("train")[1]
+    assert math.isclose(many.cost, one.cost, rel_tol=1e-12) and math.isclose(many.by_intercept, one.by_intercept, rel_tol=1e-12)
+    assert np.allclose(many.gradient, one.gradient, rtol=1e-10, atol=1e-14)
+    nothing = blocks.sums(packed.limit(0), weights, 9)
+    assert nothing.n == 0 and nothing.cost == 0 and not nothing.gradient.any()
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("after", [0, 1, 3])
+def test_a_killed_descent_goes_on_from_its_log(spark, tmp_path, monkeypatch, after):
+    """Killed after some steps, while a step is half written; the run started
+    again has the history and the weights of one never interrupted, to the bit."""
+    p = pipeline(spark, SF001, Preset(prefix="EN", k=400))
+    rows, log = p.rows("train"), str(tmp_path / "log")
+    run = lambda **more: gd.fit_gd(rows, p.size, 0.5, 5, 0.001, 0.1, "EN", mode="none", **more)
+    whole, append = run(), gd.DescentLog.append
+
+    def dying(self, model, step):
+        if step == after:
+            (tmp_path / "log" / f"step-{step:06d}").mkdir(parents=True)  # no _SUCCESS
+            raise Killed
+        append(self, model, step)
+
+    monkeypatch.setattr(gd.DescentLog, "append", dying)
+    with pytest.raises(Killed):
+        run(log=log)
+    monkeypatch.setattr(gd.DescentLog, "append", append)
+    passes = []
+    monkeypatch.setattr(gd, "gradient_pass", lambda *a, f=gd.gradient_pass: passes.append(1) or f(*a))
+    again = run(log=log)
+    assert len(passes) == 5 - after
+    assert again.history == whole.history and (again.weights == whole.weights).all()
+    assert run(log=log).history == whole.history and len(passes) == 5 - after  # nothing left to do
+    further = gd.fit_gd(rows, p.size, 0.5, 7, 0.001, 0.1, "EN", mode="none", log=log)
+    assert further.history[:5] == whole.history and len(further.history) == 7
+
+
+def test_a_log_keeps_the_end_of_a_descent_and_belongs_to_its_run(spark, tmp_path):
+    p = pipeline(spark, SF001, Preset(prefix="EN", k=400))
+    run = lambda lr, log: gd.fit_gd(p.rows("train"), p.size, lr, 9, 0.001, 5.0, "EN", log=log)
+    first = run(0.5, str(tmp_path / "log"))
+    again = run(0.5, str(tmp_path / "log"))
+    assert first.stopped and again.stopped and again.stopped_at == first.stopped_at
+    assert again.history == first.history and (again.weights == first.weights).all()
+    with pytest.raises(ValueError, match="another run"):
+        run(0.25, str(tmp_path / "log"))

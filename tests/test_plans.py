@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termflow.operators import dictionary as dct
-from termflow.operators import gd, selection, tf
+from termflow.operators import blocks, gd, selection, tf
 from termflow.plans.catalog import shared_pipeline as pipeline
 from termflow.plans.classify import Preset
 
@@ -66,13 +66,22 @@ def test_stored_tf_is_read_pruned_and_per_document_work_needs_no_shuffle(no_aqe)
     assert stats.count("Exchange") == 1 and "partial_sum" in stats
 
 
-def test_gradient_pass_shuffles_once_after_coalescing(no_aqe):
-    """A pass scores, then combines gradients in the coalesced tasks: one
-    exchange, of at most tasks x K rows, and no window or join."""
+def test_gradient_pass_keeps_one_vector_per_task(no_aqe, monkeypatch):
+    """A pass works on packed blocks without a lambda, window, join or
+    aggregation; it gives one vector per coalesced task, and a tree of tasks
+    sums more than FANIN of them."""
     p = pipeline(no_aqe, SF001, Preset(prefix="EN", k=3000))
-    text = plan(gd.gradient_sums(p.rows("train"), np.full(p.size, 0.01), "EN", 4))
-    assert text.count("Exchange") == 1 and "Window" not in text and "Join" not in text
-    assert "partial_sum" in text[text.index("Exchange"):] and "Coalesce 4" in text[text.index("partial_sum"):]
+    monkeypatch.setattr(blocks, "BLOCK_ENTRIES", 50)
+    packed = blocks.pack(p.rows("train"), F.lit(1)).repartition(8).cache()
+    weights = np.full(p.size, 0.01)
+    few = blocks.partial_sums(packed, weights, 0.0, blocks.logistic, 4)
+    text = plan(few)
+    assert "MapInArrow" in text and "Coalesce 4" in text and few.count() == 4
+    assert not any(x in text for x in ("lambda", "Window", "Join", "Aggregate", "Generate"))
+    assert all(len(r.total) == 8 * (p.size + 3) for r in few.collect())
+    assert "Exchange" not in text.split("InMemoryTableScan")[0]
+    assert plan(blocks.partial_sums(packed, weights, 0.0, blocks.logistic, 33)).split("InMemoryTableScan")[0].count("Exchange") == 1
+    packed.unpersist()
 
 
 def test_hot_document_id_is_exact(spark):
