@@ -10,10 +10,11 @@ aggregate gradients with ``treeAggregate`` over the cached vectors.
 from __future__ import annotations
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termflow import params
+from termflow.session import scratch_path
 
 
 def fit_lr(train: DataFrame, max_iter: int = params.ML_MAX_ITER):
@@ -26,9 +27,20 @@ def fit_svc(train: DataFrame, max_iter: int = params.ML_MAX_ITER):
     return LinearSVC(maxIter=max_iter, featuresCol="features", labelCol="label").fit(train)
 
 
+def _portable(model, spark: SparkSession):
+    """A fitted model's scoring function carries its training summary, and with
+    it the session, which cannot travel once observed metrics were used in it.
+    Saved and loaded, the model is its coefficients alone."""
+    if not model.hasSummary:
+        return model
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def score(model, test: DataFrame) -> DataFrame:
     """ML17/ML19 + PR10 + FN15: (doc_id, label INT, prediction INT)."""
-    return model.transform(test).select(
+    return _portable(model, test.sparkSession).transform(test).select(
         "doc_id",
         F.col("label").cast("int").alias("label"),
         F.col("prediction").cast("int").alias("prediction"),

@@ -10,8 +10,10 @@ with partial aggregation (a hot document or word is combined map-side, and
 the shuffle on (doc_id, pos) spreads even a document id that covers a third
 of the input) -> ``groupBy(doc_id)`` collecting at most K pairs per document.
 A dictionary whose measured size is too large to broadcast is joined by
-shuffle, with the words counted per document first, so that raw tokens never
-cross the network and AQE can split a word that is in most documents. The L1
+shuffle: a Bloom filter of its words, ten bits each, leaves out nearly all
+other words at the scan, and the rest are counted per document first, so that
+neither raw tokens nor out-of-dictionary words cross the network and AQE can
+split a word that is in most documents. The L1
 denominator is summed in the same aggregation. Written as Parquet, the rows
 are read back pruned: statistics and gradient passes read ``pos`` and ``tf``,
 document counts no column at all.
@@ -28,17 +30,53 @@ from pyspark.sql.functions import pandas_udf
 
 from termflow import params
 from termflow.functions.parse import label_expr
-from termflow.functions.text import explode_tokens, token_pairs
+from termflow.functions.text import explode_tokens
 
+#: Bloom filter: bits a word, and bits set in the one 64-bit entry of a word.
+BLOOM_BITS, BLOOM_SET = 10, 4
 
-def is_small(lookup: DataFrame, max_rows: int, text_col: str | None = None) -> bool:
+
+def is_small(lookup: DataFrame, max_rows: int, text_col: str | None = None,
+             most: int | None = None) -> bool:
     """Whether a lookup table may be broadcast: at most ``max_rows`` rows by
     construction, plus the measured bytes of its text column (a word has no
     length limit)."""
     size = 32 * max_rows
     if text_col:
         size += lookup.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return size <= params.BROADCAST_MAX_BYTES
+    return size <= (params.BROADCAST_MAX_BYTES if most is None else most)
+
+
+def _bloom_place(word: Column, size: int) -> tuple[Column, Column]:
+    """(entry, mask) of a word in a Bloom filter of ``size`` 64-bit entries:
+    six bits of its hash choose each bit of the mask."""
+    h, one = F.xxhash64(word), F.lit(1).cast("long")
+    mask = F.lit(0).cast("long")
+    for k in range(BLOOM_SET):
+        six = F.shiftrightunsigned(h, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", one, six))
+    return F.pmod(F.shiftrightunsigned(h, 6 * BLOOM_SET), F.lit(size)).cast("int"), mask
+
+
+def bloom_filter(lookup: DataFrame, word: str, max_rows: int):
+    """A predicate on words that holds for every one of ``lookup`` and for few
+    others, as built-in expressions over one constant array. The bits (ten for
+    each of ``max_rows`` words) are set by one aggregation, a row an entry; a
+    filter above ``BROADCAST_MAX_BYTES`` is not built, and every word passes."""
+    size = max(1, max_rows * BLOOM_BITS // 64)
+    if 8 * size > params.BROADCAST_MAX_BYTES:
+        return lambda column: F.lit(True)
+    at, mask = _bloom_place(F.col(word), size)
+    rows = lookup.select(at.alias("at"), mask.alias("mask")).groupBy("at").agg(F.bit_or("mask").alias("bits")).toPandas()
+    bits = np.zeros(size, np.int64)
+    bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+    filled = constant_array(bits, "bigint")
+
+    def may_hold(column: Column) -> Column:
+        at, mask = _bloom_place(column, size)
+        return F.get(filled, at).bitwiseAND(mask) == mask
+
+    return may_hold
 
 
 def constant_array(values: np.ndarray, element_type: str) -> Column:
@@ -49,14 +87,18 @@ def constant_array(values: np.ndarray, element_type: str) -> Column:
     return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast(f"array<{element_type}>")
 
 
-def position_counts(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
+def position_counts(docs: DataFrame, dictionary: DataFrame, k: int, broadcast_bytes: int | None = None) -> DataFrame:
     """JN1+JN2+PR7+PR8+AG2+AG3: (doc_id, pos, n), one row per document and
-    dictionary word in it. Repeated doc ids merge (S9)."""
+    dictionary word in it. Repeated doc ids merge (S9). A dictionary above
+    ``broadcast_bytes`` (default ``BROADCAST_MAX_BYTES``) is joined by shuffle."""
     lookup = dictionary.select("word", F.col("pos").cast("int").alias("pos"))
-    if is_small(lookup, k, "word"):
-        hits = explode_tokens(docs).join(F.broadcast(lookup), "word", "inner")
+    tokens = explode_tokens(docs)
+    if is_small(lookup, k, "word", broadcast_bytes):
+        hits = tokens.join(F.broadcast(lookup), "word", "inner")
         return hits.groupBy("doc_id", "pos").agg(F.count(F.lit(1)).alias("n"))
-    return token_pairs(docs).join(lookup, "word", "inner").select("doc_id", "pos", "n")
+    known = tokens.where(bloom_filter(lookup, "word", k)(F.col("word")))
+    pairs = known.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.join(lookup, "word", "inner").select("doc_id", "pos", "n")
 
 
 def tf_rows(docs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from termflow.functions import parse, text
-from termflow.operators import evaluate, gd, tf
+from termflow.operators import certify, evaluate, gd, selection, tf
 from termflow.plans.classify import (DOCUMENTS_PREFIX, Pipeline, Preset, metrics_frame, pipeline,
                                      pipeline_from_lines, round_doubles, timed_run)
 from termflow.session import scratch_path
@@ -27,6 +28,7 @@ SHORT_VOCAB_K = 1_000_000      # S6: K larger than the training vocabulary
 CONVERGE_TOL = 5.0             # S12: tolerance reached within the iterations
 
 
+BALANCED = (Preset(k=200, m=2, prefix="EN5"), Preset(k=2000, m=2, prefix=DOCUMENTS_PREFIX))  # classes that overlap
 NARROW = Preset(prefix=DOCUMENTS_PREFIX, m=3)  # so few features that documents keep an all-zero vector
 MICRO = 1e6                    # small statistics are reported in millionths, so that rounding keeps their digits
 
@@ -76,6 +78,30 @@ def q_malformed_lines(spark, sf_dir):
     return parse.malformed_counts(lines)
 
 
+def _mixed_lines(spark, sf_dir) -> DataFrame:
+    """Document lines, raw pages (which lack the markers), and null lines in
+    place of every tenth page."""
+    html = F.when(F.col("page_id") % 10 != 0, F.col("html")).alias("value")
+    pages = read_table(spark, sf_dir, "pages").select(html)
+    return documents_as_lines(spark, sf_dir).select("value").unionByName(pages)
+
+
+def q_line_quarantine(spark, sf_dir):
+    """PR3/PR4: lines left out in one pass, counted beside the write; good,
+    bad and null lines add up to the input."""
+    kept = parse.quarantine_doc_lines(_mixed_lines(spark, sf_dir), scratch_path(spark, "rejects"))
+    reasons = kept.rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    good = kept.docs.agg(F.lit("ok").alias("reason"), F.count(F.lit(1)).alias("n"))
+    counts = F.create_map(*[x for name, n in kept.counts.items() for x in (F.lit(name), F.lit(n).cast("long"))])
+    return good.unionByName(reasons).select("reason", "n", *[counts[name].alias(name) for name in ("n_ok", "n_bad", "n_null")])
+
+
+def q_line_rejects(spark, sf_dir):
+    """PR3: the reject table itself."""
+    kept = parse.quarantine_doc_lines(_mixed_lines(spark, sf_dir), scratch_path(spark, "rejects"))
+    return kept.rejects.select("reason", F.length("value").cast("long").alias("n_chars"), F.md5("value").alias("line"))
+
+
 def q_label_by_prefix(spark, sf_dir):
     """PR9/FN4."""
     return parse.label_by_prefix(_p(spark, sf_dir).corpus.all_docs, MAIN.prefix)
@@ -113,6 +139,13 @@ def q_dictionary_join(spark, sf_dir):
     return tf.position_counts(p.corpus.train, p.dictionary, p.size)
 
 
+def q_dictionary_join_shuffled(spark, sf_dir):
+    """JN1/JN2 with a dictionary that is too large to broadcast: words outside
+    it are left out at the scan by its Bloom filter."""
+    p = _p(spark, sf_dir)
+    return tf.position_counts(p.corpus.train, p.dictionary, p.size, broadcast_bytes=0)
+
+
 def q_tf_train(spark, sf_dir):
     """AG4/ML2."""
     return _p(spark, sf_dir).tf_long("train").select("doc_id", "pos", "tf")
@@ -137,6 +170,19 @@ def q_feature_stats(spark, sf_dir):
                                       (F.col("ss") * MICRO).alias("ss_micro")))
 
 
+def q_feature_moments(spark, sf_dir):
+    """AG6-AG8 from moments of two parts of the training side, documents of
+    each label, taken apart and merged."""
+    p = _p(spark, sf_dir)
+    label = parse.label_expr(F.col("doc_id"), MAIN.prefix)
+    parts = [selection.feature_moments(p.rows("train").where(label == y)) for y in (0, 1)]
+    merged = selection.merge_moments(parts[0].unionByName(parts[1]))
+    stats = selection.stats_from_moments(merged, p.counts("train")[1])
+    mean = F.col("sum_tf") / F.col("nnz")
+    return round_doubles(merged.select("pos", "nnz", (mean * MICRO).alias("mean_nz_micro"), (F.col("m2") * MICRO).alias("m2_micro"))
+                         .join(stats.select("pos", (F.col("ss") * MICRO).alias("ss_micro")), "pos"))
+
+
 def q_variance_topm(spark, sf_dir):
     """AG9/ML4."""
     return _p(spark, sf_dir).selected
@@ -272,6 +318,43 @@ def q_ml_checks(spark, sf_dir):
                                         "negatives_add_up boolean, accurate boolean, loss_fell boolean")
 
 
+def q_ml_margins(spark, sf_dir):
+    """ML16/ML18: the side on which each fit puts every training document, 0
+    unless its margin is at least 1. Where all are on their label's side the
+    mean hinge loss is 0, its optimum, and the mean log loss below log(1 + 1/e)."""
+    p = _p(spark, sf_dir)
+    found = None
+    for kind, features in ML_RUNS:
+        weights, intercept = p.fitted_weights(kind, features)
+        margin = F.round("margin", 6)
+        side = F.when(margin >= 1, 2 * F.col("label") - 1).otherwise(0).cast("int")
+        at = certify.margins(p.rows("train"), p.label, weights, intercept)
+        rows = at.select(F.lit(kind).alias("model"), F.lit(features).alias("features"), "doc_id",
+                         parse.label_expr(F.col("doc_id"), MAIN.prefix).alias("label"), "margin")
+        rows = rows.select("model", "features", "doc_id", side.alias("side"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def q_lr_mass(spark, sf_dir):
+    """ML16: what the fitted logistic regressions of two presets that no line
+    separates expect of class 1, by selected feature and over all documents
+    (new_pos -1). At the optimum it is what class 1 holds; the fit's gradient is
+    the difference."""
+    rows = []
+    for preset in BALANCED:
+        p = _p(spark, sf_dir, preset)
+        found = p.certificate("lr", "reduced")
+        sums = {r["pos"]: r["s"] for r in tf.entries(p.rows("train").where(p.label == 1)).groupBy("pos")
+                .agg(F.sum("tf").alias("s")).collect()}
+        observed = np.array([sums.get(k, 0.0) for k in range(p.size)])
+        mass = certify.expected_mass(found, observed)
+        total = float(p.rows("train").where(p.label == 1).count()) + found.by_intercept
+        rows += [(preset.prefix, -1, total)]
+        rows += [(preset.prefix, r["new_pos"], float(mass[r["pos"]])) for r in p.selected.collect()]
+    return round_doubles(spark.createDataFrame(rows, "prefix string, new_pos int, mass double"), 3)
+
+
 def q_model_comparison(spark, sf_dir):
     """ML25/EX1-EX3: LR and SVM on full and reduced features, each a whole run
     of its own with its times."""
@@ -304,6 +387,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_lines_scan": q_doc_lines_scan,
     "parse_doc_lines": q_parse_doc_lines,
     "malformed_lines": q_malformed_lines,
+    "line_quarantine": q_line_quarantine,
+    "line_rejects": q_line_rejects,
     "label_by_prefix": q_label_by_prefix,
     "tokenize": q_tokenize,
     "token_pairs": q_token_pairs,
@@ -311,10 +396,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dictionary_topk": q_dictionary_topk,
     "dictionary_short_vocab": q_dictionary_short_vocab,
     "dictionary_join": q_dictionary_join,
+    "dictionary_join_shuffled": q_dictionary_join_shuffled,
     "tf_train": q_tf_train,
     "tf_test": q_tf_test,
     "tf_dropped_docs": q_tf_dropped_docs,
     "feature_stats": q_feature_stats,
+    "feature_moments": q_feature_moments,
     "variance_topm": q_variance_topm,
     "tf_reduced_train": q_tf_reduced_train,
     "tf_reduced_test": q_tf_reduced_test,
@@ -335,6 +422,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reduced_vector_stats_test": _vectors("test", "reduced"),
     "reduced_vector_stats_narrow": _vectors("train", "reduced", NARROW),
     "ml_checks": q_ml_checks,
+    "ml_margins": q_ml_margins,
+    "lr_mass": q_lr_mass,
     "lr_full_metrics": _ml_metrics("lr", "full"),
     "svm_full_metrics": _ml_metrics("svm", "full"),
     "lr_reduced_metrics": _ml_metrics("lr", "reduced"),

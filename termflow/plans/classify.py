@@ -11,15 +11,16 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termflow import params
-from termflow.operators import evaluate, gd, ml, selection, tf
+from termflow.operators import blocks, certify, evaluate, gd, ml, selection, tf
 from termflow.operators.dictionary import dictionary_from_counts, word_counts
-from termflow.session import materialize, write_and_read
-from termflow.functions.parse import parse_doc_lines
+from termflow.session import materialize, scratch_path, write_and_read
+from termflow.functions.parse import Quarantine, label_expr, parse_doc_lines, quarantine_doc_lines
 from termflow.sources.corpus import documents_corpus, read_doc_lines, split_corpus
 
 
@@ -48,6 +49,7 @@ class Corpus:
     all_docs: DataFrame
     train: DataFrame
     test: DataFrame
+    quarantine: dict[str, Quarantine] = field(default_factory=dict)  # by side, when lines may be left out
 
 
 def load_corpus(spark: SparkSession, sf_dir: str, preset: Preset) -> Corpus:
@@ -57,12 +59,25 @@ def load_corpus(spark: SparkSession, sf_dir: str, preset: Preset) -> Corpus:
 
 
 def lines_corpus(spark: SparkSession, train_path: str, test_path: str,
-                 mode: str = "FAILFAST") -> Corpus:
+                 mode: str = "FAILFAST", rejects: str | None = None) -> Corpus:
     """The reference's input: two text corpora of document lines (IO1, IO2,
-    PR1-PR4)."""
-    train = parse_doc_lines(read_doc_lines(spark, train_path), mode)
-    test = parse_doc_lines(read_doc_lines(spark, test_path), mode)
-    return Corpus(all_docs=train.unionByName(test), train=train, test=test)
+    PR1-PR4). With DROPMALFORMED the lines left out are counted and kept, by
+    side, below ``rejects`` (default: the shared checkpoint folder)."""
+    sides = {"train": read_doc_lines(spark, train_path), "test": read_doc_lines(spark, test_path)}
+    if mode != "DROPMALFORMED":
+        train, test = (parse_doc_lines(lines, mode) for lines in sides.values())
+        return Corpus(all_docs=train.unionByName(test), train=train, test=test)
+    root = rejects.rstrip("/") if rejects else scratch_path(spark, "rejects")
+    kept = {side: quarantine_doc_lines(lines, f"{root}/{side}") for side, lines in sides.items()}
+    train, test = kept["train"].docs, kept["test"].docs
+    return Corpus(all_docs=train.unionByName(test), train=train, test=test, quarantine=kept)
+
+
+def line_report(spark: SparkSession, corpus: Corpus) -> DataFrame:
+    """(side, n_lines, n_ok, n_bad, n_null): what became of every line."""
+    rows = [(side, sum(q.counts.values()), q.counts["n_ok"], q.counts["n_bad"], q.counts["n_null"])
+            for side, q in corpus.quarantine.items()]
+    return spark.createDataFrame(rows, "side string, n_lines long, n_ok long, n_bad long, n_null long")
 
 
 @dataclass
@@ -103,7 +118,11 @@ class Pipeline:
         if key not in self._cache:
             docs = self.corpus.train if side == "train" else self.corpus.test
             built = tf.tf_rows(docs, self.dictionary, self.size)
-            self._cache[key] = built if self.preset.persist == "none" else write_and_read(built, f"tf-{side}")
+            if self.preset.persist != "none":
+                seen = Observation(f"tf-{side}")
+                built = write_and_read(built, f"tf-{side}", seen, F.sum(F.size("pos")).alias("e"), F.count(F.lit(1)).alias("d"))
+                self._cache["counts", side] = (int(seen.get["e"] or 0), int(seen.get["d"]))
+            self._cache[key] = built
         return self._cache[key]
 
     def tf_long(self, side: str) -> DataFrame:
@@ -111,10 +130,12 @@ class Pipeline:
         return tf.entries(self.rows(side), "doc_id", values=("pos", "n", "tf"))
 
     def counts(self, side: str) -> tuple[int, int]:
-        """(TF entries, documents with a TF row) of one side, counted once."""
+        """(TF entries, documents with a TF row) of one side, counted by the
+        write of its rows."""
         key = ("counts", side)
+        rows = self.rows(side)
         if key not in self._cache:
-            size = self.rows(side).agg(F.coalesce(F.sum(F.size("pos")), F.lit(0)).alias("e"),
+            size = rows.agg(F.coalesce(F.sum(F.size("pos")), F.lit(0)).alias("e"),
                                        F.count(F.lit(1)).alias("d")).first()
             self._cache[key] = (int(size.e), int(size.d))
         return self._cache[key]
@@ -149,39 +170,74 @@ class Pipeline:
         return tf.selected_vectors(self.rows(side), self.selected, self.m_size, self.preset.prefix)
 
     # ---- gradient descent ------------------------------------------------------
-    def gd_model(self, tol: float | None = None) -> gd.GdModel:
+    def gd_model(self, tol: float | None = None, log: str | None = None) -> gd.GdModel:
         p = self.preset
         tol = p.tol if tol is None else tol
         key = ("gd", tol)
         if key not in self._cache:
             self._cache[key] = gd.fit_gd(self.rows("train"), self.size, p.learning_rate,
-                                         p.iterations, p.reg, tol, p.prefix, tasks=p.gradient_tasks)
+                                         p.iterations, p.reg, tol, p.prefix, tasks=p.gradient_tasks, log=log)
         return self._cache[key]
 
     def gd_predictions(self) -> DataFrame:
         return gd.predict_gd(self.rows("test"), self.gd_model(), self.preset.prefix)
 
     # ---- Spark ML --------------------------------------------------------------
+    def prepare(self, features: str) -> None:
+        """Everything up to the vectors: dictionary, TF rows of both sides, and
+        the selection for reduced features."""
+        for side in ("train", "test"):
+            self.rows(side)
+        if features == "reduced":
+            self.m_size
+
     def ml_vectors(self, features: str) -> tuple[DataFrame, DataFrame]:
         """(train, test) vectors of one feature set, cached at the TF rows'
         parallelism and shared by the LR and SVM runs (EX1/EX2) until
         ``release`` frees them."""
         key = ("vectors", features)
         if key not in self._cache:
-            self._cache[key] = tuple(materialize(self.vectors(side, features), "cache")
-                                     for side in ("train", "test"))
+            self._cache[key] = tuple(self.vectors(side, features).cache() for side in ("train", "test"))
         return self._cache[key]
 
+    def packed(self) -> DataFrame:
+        """The training side as blocks (``operators.blocks``), cached until
+        ``release``."""
+        if "packed" not in self._cache:
+            self._cache["packed"] = blocks.pack(self.rows("train"), self.label).cache()
+        return self._cache["packed"]
+
+    @property
+    def label(self) -> Column:
+        return label_expr(F.col("doc_id"), self.preset.prefix)
+
+    def fitted_weights(self, kind: str, features: str) -> tuple[np.ndarray, float]:
+        """(weights by dictionary position, intercept) of a fit."""
+        model = self.ml_run(kind, features)["fitted"]
+        selected = self.selected if features == "reduced" else None
+        return certify.full_weights(model.coefficients.toArray(), self.size, selected), float(model.intercept)
+
+    def certificate(self, kind: str, features: str) -> certify.Certificate:
+        """How far the fit can be from its optimum (ML16, ML18)."""
+        weights, intercept = self.fitted_weights(kind, features)
+        free = None
+        if features == "reduced":
+            free = np.zeros(self.size, bool)
+            free[self.selected.select("pos").toPandas()["pos"].to_numpy(dtype=np.int64)] = True
+        return certify.certify(self.packed(), kind, weights, intercept, self.preset.gradient_tasks, free)
+
     def release(self) -> None:
-        """Unpersist every cached vector frame."""
+        """Unpersist every cached vector frame and block."""
+        if "packed" in self._cache:
+            self._cache.pop("packed").unpersist()
         for key in [k for k in self._cache if k[0] == "vectors"]:
             for frame in self._cache.pop(key):
                 frame.unpersist()
 
     def ml_run(self, kind: str, features: str) -> dict:
         """Fit ``kind`` (lr | svm) on ``features`` (full | reduced) and score
-        the test side, both forced by an action and timed. Once both kinds have
-        run, the vectors of that feature set are unpersisted."""
+        the test side, both timed by their own jobs. Once both kinds have run,
+        the vectors of that feature set are unpersisted."""
         key = ("ml", kind, features)
         if key in self._cache:
             return self._cache[key]
@@ -193,9 +249,10 @@ class Pipeline:
         scored = time.perf_counter()
         losses = list(model.summary().objectiveHistory if callable(model.summary)
                       else model.summary.objectiveHistory)
-        self._cache[key] = {"model": kind, "features": features, **metrics,
+        self._cache[key] = {"model": kind, "features": features, **metrics, "fitted": model,
                             "loss_fell": losses[-1] < losses[0],
-                            "train_sec": fitted - started, "test_sec": scored - fitted}
+                            "train_sec": fitted - started, "test_sec": scored - fitted,
+                            "train_rows": self.counts("train")[1], "test_rows": sum(metrics[c] for c in ("tn", "fp", "fn", "tp"))}
         if all(("ml", other, features) in self._cache for other in ml.ESTIMATORS):
             for frame in self._cache.pop(("vectors", features)):
                 frame.unpersist()
@@ -204,15 +261,28 @@ class Pipeline:
 
 def timed_run(fresh: Pipeline, kind: str, features: str) -> dict:
     """EX3: one whole run of a ``fresh`` pipeline, which has computed nothing
-    yet, so that its times do not depend on what ran before. Preprocessing
-    goes from reading the corpora to the cached vectors of both sides; the
-    vectors are unpersisted at the end (EX1/EX2)."""
-    started = time.perf_counter()
-    fresh.ml_vectors(features)
+    yet, so that its times do not depend on what ran before. Every phase is
+    timed by the jobs it needs anyway, and none is forced: preprocessing goes
+    from reading the corpora to the written TF rows of both sides and the
+    selection, and its rows are counted by that write; the first pass of the
+    fit caches the vectors (EX1/EX2), which are unpersisted at the end. The
+    jobs of a phase carry its name as a tag."""
+    session, started = fresh.spark, time.perf_counter()
+
+    def tagged(name: str, work):
+        tag = f"termflow-{kind}-{features}-{name}"
+        session.addTag(tag)
+        try:
+            return work()
+        finally:
+            session.removeTag(tag)
+
+    tagged("preprocess", lambda: fresh.prepare(features))
     prepared = time.perf_counter()
-    run = fresh.ml_run(kind, features)
+    run = tagged("fit-and-score", lambda: fresh.ml_run(kind, features))
     fresh.release()
-    return {**run, "preprocess_sec": prepared - started, "total_sec": time.perf_counter() - started}
+    rows = sum(fresh.counts(side)[1] for side in ("train", "test"))
+    return {**run, "preprocess_rows": rows, "preprocess_sec": prepared - started, "total_sec": time.perf_counter() - started}
 
 
 METRIC_SCHEMA = T.StructType([
@@ -229,11 +299,12 @@ METRIC_SCHEMA = T.StructType([
 ])
 TIMING_FIELDS = [T.StructField(n, T.DoubleType(), False)
                  for n in ("preprocess_sec", "train_sec", "test_sec", "total_sec")]
+ROW_FIELDS = [T.StructField(n, T.LongType(), False) for n in ("preprocess_rows", "train_rows", "test_rows")]
 
 
 def metrics_frame(spark: SparkSession, runs: list[dict], with_timing: bool = False) -> DataFrame:
     """ML25: one row per model run (a bounded, driver-sized report)."""
-    schema = T.StructType(METRIC_SCHEMA.fields + (TIMING_FIELDS if with_timing else []))
+    schema = T.StructType(METRIC_SCHEMA.fields + (ROW_FIELDS + TIMING_FIELDS if with_timing else []))
     names = [f.name for f in schema.fields]
     return spark.createDataFrame([tuple(r[n] for n in names) for r in runs], schema)
 
@@ -245,9 +316,9 @@ def pipeline(spark: SparkSession, sf_dir: str, preset: Preset | None = None) ->
 
 
 def pipeline_from_lines(spark: SparkSession, train_path: str, test_path: str,
-                        preset: Preset | None = None, mode: str = "FAILFAST") -> Pipeline:
+                        preset: Preset | None = None, mode: str = "FAILFAST", rejects: str | None = None) -> Pipeline:
     """A fresh pipeline over two document-line corpora."""
-    return Pipeline(spark, lines_corpus(spark, train_path, test_path, mode), preset or Preset())
+    return Pipeline(spark, lines_corpus(spark, train_path, test_path, mode, rejects), preset or Preset())
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -8,7 +8,7 @@ to 6 decimals on both sides (summation order differs between engines), and
 
 from __future__ import annotations
 
-from termflow.plans.catalog import (CONVERGE_TOL, DROPPED_K, HARD, MAIN, MICRO, NARROW, NO_TRUE_POSITIVE,
+from termflow.plans.catalog import (BALANCED, CONVERGE_TOL, DROPPED_K, HARD, MAIN, MICRO, NARROW, NO_TRUE_POSITIVE,
                                     SHORT_VOCAB_K)
 from termflow.params import VARIANCE_KEY_DECIMALS
 from termflow.plans.classify import Preset
@@ -161,8 +161,19 @@ def oracle_sql() -> dict[str, str]:
           "AND strpos(value, '\">') > 0")
     q["malformed_lines"] = (
         f"SELECT CAST(sum(CASE WHEN {ok} THEN 1 ELSE 0 END) AS BIGINT) AS n_ok, "
-        f"CAST(sum(CASE WHEN {ok} THEN 0 ELSE 1 END) AS BIGINT) AS n_bad FROM "
+        f"CAST(sum(CASE WHEN {ok} OR value IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS n_bad, CAST(count(*) - count(value) AS BIGINT) AS n_null FROM "
         f"(SELECT {_line()} AS value FROM documents UNION ALL SELECT html AS value FROM pages)")
+    reasons = ("SELECT value, CASE WHEN value IS NULL THEN 'null line' WHEN strpos(value, 'id=\"') = 0 THEN 'no id' "
+               "WHEN strpos(value, '\" url=') = 0 THEN 'no url' WHEN strpos(value, '\">') = 0 THEN 'no body' ELSE 'ok' END AS reason "
+               f"FROM (SELECT {_line()} AS value FROM documents UNION ALL "
+               "SELECT CASE WHEN page_id % 10 <> 0 THEN html END AS value FROM pages)")
+    q["line_quarantine"] = (
+        f"WITH r AS ({reasons}), n AS (SELECT count(*) FILTER (WHERE reason = 'ok') AS n_ok, "
+        "count(*) FILTER (WHERE reason LIKE 'no %') AS n_bad, count(*) FILTER (WHERE value IS NULL) AS n_null FROM r) "
+        "SELECT reason, count(*) AS n, any_value(n_ok) AS n_ok, any_value(n_bad) AS n_bad, any_value(n_null) AS n_null "
+        "FROM r, n GROUP BY reason")
+    q["line_rejects"] = (f"SELECT reason, CAST(length(value) AS BIGINT) AS n_chars, md5(value) AS line "
+                         f"FROM ({reasons}) WHERE reason <> 'ok'")
     q["label_by_prefix"] = _with(base, f"SELECT doc_id, {_label('doc_id', p.prefix)} AS label FROM docs")
     q["tokenize"] = _with(base, (
         "SELECT doc_id, CAST(len(words) AS BIGINT) AS n_tokens, words[1] AS first_word, "
@@ -174,6 +185,7 @@ def oracle_sql() -> dict[str, str]:
     q["dictionary_topk"] = _with(base, "SELECT pos, word, n FROM dict")
     q["dictionary_short_vocab"] = _with(_base(Preset(k=SHORT_VOCAB_K)), "SELECT pos, word, n FROM dict")
     q["dictionary_join"] = _with(tf_tr, "SELECT doc_id, pos, n FROM tf_train")
+    q["dictionary_join_shuffled"] = q["dictionary_join"]
     q["tf_train"] = _with(tf_tr, "SELECT doc_id, pos, tf FROM tf_train")
     q["tf_test"] = _with(tf_te, "SELECT doc_id, pos, tf FROM tf_test")
     q["tf_dropped_docs"] = _with(
@@ -185,6 +197,14 @@ def oracle_sql() -> dict[str, str]:
     q["feature_stats"] = _with(sel, (
         f"SELECT pos, {_r('sum_tf')} AS sum_tf, {_r(f'mean_tf * {MICRO!r}')} AS mean_tf_micro, "
         f"{_r(f'ss * {MICRO!r}')} AS ss_micro FROM stats"))
+    # Two passes: deviations of the non-zeros from their own mean, and from the mean over all documents.
+    q["feature_moments"] = _with(tf_tr + [
+        "n_docs AS (SELECT CAST(count(DISTINCT doc_id) AS DOUBLE) AS nd FROM tf_train)",
+        "m AS (SELECT pos, count(*) AS nnz, avg(tf) AS mean_nz, sum(tf) / any_value(nd) AS mean FROM tf_train, n_docs GROUP BY pos)"], (
+        f"SELECT t.pos, any_value(m.nnz) AS nnz, {_r(f'any_value(m.mean_nz) * {MICRO!r}')} AS mean_nz_micro, "
+        f"{_r(f'sum((t.tf - m.mean_nz) * (t.tf - m.mean_nz)) * {MICRO!r}')} AS m2_micro, "
+        f"{_r(f'(sum((t.tf - m.mean) * (t.tf - m.mean)) + any_value((nd - m.nnz) * m.mean * m.mean)) * {MICRO!r}')} AS ss_micro "
+        "FROM tf_train t JOIN m USING (pos), n_docs GROUP BY t.pos"))
     q["variance_topm"] = _with(sel, "SELECT new_pos, pos FROM selected")
     q["tf_reduced_train"] = _with(sel, "SELECT t.doc_id, s.new_pos, t.tf FROM tf_train t JOIN selected s USING (pos)")
     q["tf_reduced_test"] = _with(sel + _tf("tf_test", "test_tokens"),
@@ -244,6 +264,19 @@ def oracle_sql() -> dict[str, str]:
         "CAST((SELECT count(*) FROM labels WHERE label = 0) AS BIGINT) AS n, TRUE AS positives_add_up, "
         "TRUE AS negatives_add_up, TRUE AS accurate, TRUE AS loss_fell FROM "
         "(VALUES ('lr', 'full'), ('svm', 'full'), ('lr', 'reduced'), ('svm', 'reduced')) AS m(model, features)"))
+    q["ml_margins"] = _with(tf_tr + [f"labels AS (SELECT DISTINCT doc_id, {_label('doc_id', p.prefix)} AS label FROM tf_train)"], (
+        "SELECT model, features, doc_id, CAST(2 * label - 1 AS INTEGER) AS side FROM labels, "
+        "(VALUES ('lr', 'full'), ('svm', 'full'), ('lr', 'reduced'), ('svm', 'reduced')) AS m(model, features)"))
+    parts = []
+    for preset in BALANCED:
+        rows = _base(preset) + _tf("tf_train", "train_tokens") + _selection(preset)
+        one = _label("doc_id", preset.prefix)
+        parts.append("SELECT * FROM (" + _with(rows, (
+            f"SELECT '{preset.prefix}' AS prefix, CAST(-1 AS INTEGER) AS new_pos, {_r('CAST(count(DISTINCT doc_id) AS DOUBLE)', 3)} "
+            f"AS mass FROM tf_train WHERE {one} = 1 UNION ALL "
+            f"SELECT '{preset.prefix}' AS prefix, s.new_pos, {_r(f'coalesce(sum(CASE WHEN {one} = 1 THEN t.tf END), 0.0)', 3)} AS mass "
+            "FROM selected s LEFT JOIN tf_train t USING (pos) GROUP BY s.new_pos")) + ")")
+    q["lr_mass"] = " UNION ALL ".join(parts)
     q["lines_gd_confusion"] = q["gd_confusion"]
     del q["gd_false_positives_zero"]  # that preset predicts no positives
     return q

@@ -24,8 +24,8 @@ from pyspark.sql import SparkSession
 
 from termflow import params
 from termflow.operators import evaluate, gd
-from termflow.plans.classify import Preset, metrics_frame, pipeline_from_lines, timed_run
-from termflow.session import materialize
+from termflow.plans.classify import Preset, line_report, metrics_frame, pipeline_from_lines, timed_run
+from termflow.session import materialize, scratch_path
 from termflow.sources import sinks
 
 
@@ -35,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--m", type=int, default=params.SELECTED_FEATURES, help="selected features")
     ap.add_argument("--prefix", default=params.REFERENCE_LABEL_PREFIX, help="label-1 id prefix")
     ap.add_argument("--parse-mode", default="FAILFAST", choices=("FAILFAST", "DROPMALFORMED"))
+    ap.add_argument("--rejects", default=None,
+                    help="new folder for the lines that DROPMALFORMED leaves out (default: the checkpoint folder)")
     sub = ap.add_subparsers(dest="command", required=True)
     g = sub.add_parser("gd", help="gradient-descent logistic regression")
     g.add_argument("train")
@@ -44,6 +46,9 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("reg", type=float)
     g.add_argument("out")
     g.add_argument("--tol", type=float, default=params.GD_TOLERANCE)
+    g.add_argument("--report", default=None,
+                   help="new folder for the false positives' texts (default: the checkpoint folder)")
+    g.add_argument("--log", default=None, help="folder of the descent's steps; a run cut off goes on from there")
     m = sub.add_parser("ml", help="Spark ML logistic regression or linear SVM")
     m.add_argument("model", choices=("lr", "svm"))
     m.add_argument("features", choices=("full", "reduced"))
@@ -60,22 +65,32 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                         iterations=args.iterations, reg=args.reg, tol=args.tol)
     else:
         preset = Preset(k=args.k, m=args.m, prefix=args.prefix)
-    p = pipeline_from_lines(spark, args.train, args.test, preset, args.parse_mode)
+    p = pipeline_from_lines(spark, args.train, args.test, preset, args.parse_mode, args.rejects)
     out: dict = {}
+    if p.corpus.quarantine:
+        out["lines"] = line_report(spark, p.corpus)
     if args.command == "gd":
-        model = p.gd_model()
+        model = p.gd_model(log=args.log)
         history = sinks.history_frame(spark, model.history)
         sinks.write_single_file(history, args.out)
         preds = materialize(p.gd_predictions())
+        report = args.report or scratch_path(spark, "false-positives")
         conf = evaluate.confusion(preds)
-        out = {"history": history, "top_words": gd.top_words(spark, model, p.dictionary),
-               "confusion": conf, "f1": evaluate.f1_report(conf),
-               "false_positives": evaluate.false_positives(preds, p.corpus.test)}
+        out |= {"history": history, "top_words": gd.top_words(spark, model, p.dictionary),
+                "confusion": conf, "f1": evaluate.f1_report(conf),
+                "false_positives": sinks.write_report(evaluate.false_positives(preds, p.corpus.test), report)}
     else:
-        out = {"metrics": metrics_frame(spark, [timed_run(p, args.model, args.features)], with_timing=True)}
+        out["metrics"] = metrics_frame(spark, [timed_run(p, args.model, args.features)], with_timing=True)
     for name, df in out.items():
         print(f"== {name}")
-        df.show(max(df.count(), 1), truncate=False)  # whole reports and whole texts
+        if name == "false_positives":  # up to three ids, but any number of texts
+            print(f"written to {report}")
+            for number, page in enumerate(sinks.pages(df), 1):
+                print(f"-- page {number}")
+                for row in page:
+                    print(f"{row['doc_id']}\t{row['text']}")
+        else:
+            df.show(max(df.count(), 1), truncate=False)
     return out
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -77,9 +77,10 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     return df
 
 
-def write_and_read(df: DataFrame, name: str) -> DataFrame:
+def write_and_read(df: DataFrame, name: str, seen: Observation | None = None, *counts: Column) -> DataFrame:
     """A data-sized intermediate as Parquet in the shared folder, read back
-    with column pruning: it survives executor loss and cuts lineage."""
+    with column pruning: it survives executor loss and cuts lineage. ``counts``
+    are taken by the write itself and end up in ``seen``."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if seen is None else df.observe(seen, *counts)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,15 +45,17 @@ def one_line(text: Column) -> Column:
 
 def documents_as_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src_id, value) with value = ``<doc id=".." url=".." title="..">body</doc>``.
-    A row without an id has an empty one in its line, as a key needs both parts."""
+    A row without an id has an empty one in its line, as a key needs both parts;
+    a missing source or text is empty, so every row has a line."""
     docs = read_table(spark, sf_dir, "documents")
     src = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     key = F.coalesce(document_key(F.col("lang"), F.col("doc_id")), F.lit(""))
+    source = F.coalesce(F.col("source"), F.lit(""))
     value = F.concat(
         F.lit('<doc id="'), key,
-        F.lit('" url="doc://'), F.col("source"), F.lit("/"), src,
-        F.lit('" title="'), F.col("source"), F.lit(" "), src,
-        F.lit('">'), one_line(F.col("text")), F.lit(params.DOC_CLOSE),
+        F.lit('" url="doc://'), source, F.lit("/"), src,
+        F.lit('" title="'), source, F.lit(" "), src,
+        F.lit('">'), one_line(F.coalesce(F.col("text"), F.lit(""))), F.lit(params.DOC_CLOSE),
     )
     return docs.select(F.col("doc_id").alias("src_id"), value.alias("value"))
 

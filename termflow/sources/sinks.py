@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 HISTORY_SCHEMA = T.StructType([
@@ -32,6 +34,26 @@ def write_single_file(df: DataFrame, path: str, fmt: str = "csv") -> None:
         raise ValueError(f"unsupported format {fmt!r}")
 
 
+def write_report(df: DataFrame, path: str) -> DataFrame:
+    """IO5: a report without a bound on its rows, written by the executors as
+    Parquet to a new folder and read back; the driver never holds it."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pages(report: DataFrame, rows: int = 20) -> Iterator[list[Row]]:
+    """The rows of a written report, ``rows`` at a time; the driver holds one
+    file split, and one page, at once."""
+    page: list[Row] = []
+    for row in report.toLocalIterator():
+        page.append(row)
+        if len(page) == rows:
+            yield page
+            page = []
+    if page:
+        yield page
+
+
 def read_single_file(spark: SparkSession, path: str, schema: T.StructType,
                      fmt: str = "csv") -> DataFrame:
     if fmt == "csv":

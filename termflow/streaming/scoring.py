@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from termflow import params
-from termflow.functions.parse import malformed_counts, parse_doc_lines
+from termflow.functions.parse import parse_doc_lines, quarantine_doc_lines
 from termflow.operators import gd, ml, tf
 from termflow.session import scratch_path
 
@@ -47,21 +47,26 @@ def score_lines_stream(spark: SparkSession, source_dir: str, dictionary: DataFra
     (with ``selected``/``m`` when it was trained on selected features).
 
     A malformed line fails the stream, as it fails a batch run. With
-    ``parse_mode="DROPMALFORMED"`` it is left out and counted: every batch
-    writes (n_ok, n_bad) to ``{sink_dir}_malformed/batch_id=N``."""
+    ``parse_mode="DROPMALFORMED"`` it is kept apart and counted: every batch
+    writes (n_ok, n_bad, n_null) to ``{sink_dir}_malformed/batch_id=N`` and the
+    lines themselves to ``{sink_dir}_rejects/batch_id=N``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(source_dir)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        docs = parse_doc_lines(batch, parse_mode)
+        sink = sink_dir.rstrip("/")
         if parse_mode == "DROPMALFORMED":
-            malformed_counts(batch).write.mode("overwrite").parquet(
-                f"{sink_dir.rstrip('/')}_malformed/batch_id={batch_id}")
+            kept = quarantine_doc_lines(batch, f"{sink}_rejects/batch_id={batch_id}", mode="overwrite")
+            docs = kept.docs
+            spark.createDataFrame([kept.counts], "n_ok long, n_bad long, n_null long").write.mode("overwrite").parquet(
+                f"{sink}_malformed/batch_id={batch_id}")
+        else:
+            docs = parse_doc_lines(batch, parse_mode)
         preds = score_frame(tf.tf_rows(docs, dictionary, size), model, size, prefix, selected, m)
         preds.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
+            f"{sink}/batch_id={batch_id}")
 
     writer = (lines.writeStream.foreachBatch(score_batch)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "score-stream")))

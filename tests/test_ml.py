@@ -46,3 +46,19 @@ def test_vectors_are_released_after_both_models(spark):
     assert train.is_cached and p.ml_vectors("full")[0] is train
     p.ml_run("svm", "full")
     assert not train.is_cached and not test.is_cached
+
+
+def test_phases_are_counted_without_forcing_actions(spark):
+    """Rows of every phase; no count or cache job of its own, so that the
+    vectors are filled by the first pass of the fit."""
+    from termflow.plans.classify import Preset, pipeline as fresh, timed_run
+    jobs = spark.sparkContext.statusTracker()
+    p = fresh(spark, SF01, Preset(prefix="EN", k=300))
+    spark.sparkContext.setJobGroup("phases", "")
+    run = timed_run(p, "svm", "full")
+    spark.sparkContext.setJobGroup("after", "")
+    assert run["train_rows"] == p.counts("train")[1] and run["test_rows"] == p.counts("test")[1]
+    assert run["preprocess_rows"] == run["train_rows"] + run["test_rows"]
+    assert all(run[c] > 0 for c in ("preprocess_sec", "train_sec", "test_sec"))
+    assert run["total_sec"] >= run["preprocess_sec"] + run["train_sec"] + run["test_sec"]
+    assert jobs.getJobIdsForGroup("phases")

@@ -86,3 +86,29 @@ def test_selected_vectors_keep_documents_without_selected_words(spark):
     got = {r.doc_id: (r.label, r.features) for r in tf.selected_vectors(t, selected, 2, "AU").collect()}
     assert got["AU9"] == (1.0, SparseVector(2, {}))                       # kept, all zero
     assert got["EN9"] == (0.0, SparseVector(2, {0: 1 / 3, 1: 1 / 3}))     # not re-normalised
+
+
+def test_bloom_filter_passes_every_word_and_few_others(spark):
+    words = spark.range(3000).select(F.concat(F.lit("w"), F.col("id")).alias("word"))
+    passes = tf.bloom_filter(words, "word", 3000)
+    assert words.where(passes(F.col("word"))).count() == 3000
+    others = spark.range(20000).select(F.concat(F.lit("x"), F.col("id")).alias("word"))
+    assert others.where(passes(F.col("word"))).count() < 0.06 * 20000
+    none = tf.bloom_filter(words.limit(0), "word", 0)
+    assert words.where(none(F.col("word"))).count() == 0
+
+
+def test_out_of_dictionary_words_stay_at_the_scan(spark):
+    """With a dictionary joined by shuffle, nearly all pairs that cross the
+    network are of dictionary words."""
+    docs = docs_frame(spark, [(f"D{i}", " ".join(f"common{chr(97 + j)}" for j in range(5)) + " " +
+                               " ".join("rare" + chr(97 + j) * (i + 1) for j in range(20))) for i in range(40)])
+    d = dct.build_dictionary(docs, 5, mode="none")
+    assert {r.word for r in d.collect()} == {f"common{c}" for c in "abcde"}
+    few = tf.position_counts(docs, d, 5, broadcast_bytes=0)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, tf.position_counts(docs, d, 5).collect()))
+    kept = tf.explode_tokens(docs).where(tf.bloom_filter(d, "word", 5)(F.col("word")))
+    pairs = kept.distinct().count()
+    assert 200 <= pairs < 200 + 0.1 * 800
+    text = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in text and text.index("Filter") < text.index("Generate")  # above the explode, below the count
