@@ -4,6 +4,7 @@ offsets, so that one numpy call handles thousands of texts."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,10 +60,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Rolling:
     """Hashes of any byte ranges of one buffer, from prefix sums: range
     [s, e) hashes to sum(table[byte] * base**(offset in range)) mod 2**64.
-    ``which`` picks one of two independent hashes."""
+    ``which`` picks one of two independent hashes.
+
+    Sums modulo a power of two collide on texts made for it (a Thue-Morse
+    word and its complement, whatever the base), but only on 2**10 bytes and
+    more; ranges above LONG bytes are named by a keyed digest instead."""
+
+    LONG = 512
 
     def __init__(self, buf: np.ndarray, which: int = 0):
         n = len(buf)
+        self.buf, self.key = buf, b"range %d" % which
         self.powers = np.full(n + 1, _U(_BASES[which]))
         self.powers[0] = 1
         np.multiply.accumulate(self.powers, out=self.powers)
@@ -74,11 +82,16 @@ class Rolling:
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of every range [start, end); the length is mixed in."""
+        size = np.asarray(end - start)
         h = (self.prefix[end] - self.prefix[start]) * self.inverse[start]
-        return mix(h + (end - start).astype(np.uint64) * _U(0x9FB21C651E98DF25))
+        h = mix(h + size.astype(np.uint64) * _U(0x9FB21C651E98DF25))
+        for k in np.flatnonzero(size > self.LONG).tolist():
+            digest = hashlib.blake2b(self.buf[start[k]:end[k]], digest_size=8, key=self.key).digest()
+            h[k] = int.from_bytes(digest, "little")
+        return h
 
     def grams(self, k: int) -> np.ndarray:
-        """Hash of every k-byte string of the buffer, by start."""
+        """Hash of every k-byte string of the buffer, by start; k is at most LONG."""
         n = len(self.prefix) - k
         if n <= 0:
             return np.zeros(0, np.uint64)

@@ -65,24 +65,28 @@ def _ranges(chars: list[int]) -> str:
 
 @functools.cache
 def unicode_tables() -> dict:
-    """Letters, numbers, blanks and lower-case exceptions as the installed
-    tokenizers library has them, since Unicode versions differ; Python's own
-    tables where that library is missing."""
+    """Letters, numbers, blanks, lower-case exceptions and unordered marks as
+    the tokenizers library has them, since Unicode versions differ. The driver
+    needs that library; Python's own tables would give other ids."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
     every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    try:
-        from tokenizers import Regex, normalizers, pre_tokenizers
-    except ImportError:
-        kind = lambda k: [ord(c) for c in every if unicodedata.category(c)[0] == k]
-        blanks = [ord(c) for c in every if c.isspace() and not "\x1c" <= c <= "\x1f"]
-        return {"letters": _ranges(kind("L")), "numbers": _ranges(kind("N")), "blanks": _ranges(blanks), "lower": {}}
 
     def of(pattern):
         gone = pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str("".join(every))
         return _ranges(sorted(set(map(ord, every)) - set(map(ord, "".join(part for part, _ in gone)))))
 
+    # Marks of a later Unicode than the library's: it does not move them when it
+    # orders marks, and nothing moves past them. U+0345 belongs last of all
+    # marks but those of class 240 and more, U+0334 first.
+    nfc = normalizers.NFC()
+    tried = [(c, f"\u25cc\u0345{c}" if unicodedata.combining(c) < 240 else f"\u25cc{c}\u0334")
+             for c in every if unicodedata.combining(c) and c not in "\u0345\u0334"]
+    fixed = [ord(c) for c, text in tried
+             if unicodedata.normalize("NFC", text) != text and nfc.normalize_str(text) == text]
     lower = normalizers.Lowercase()
     changed = [c for c in every if not c.isascii() and (c.lower() != c or unicodedata.category(c) == "Cn")]
-    return {"letters": of(r"\p{L}"), "numbers": of(r"\p{N}"), "blanks": of(r"\s"),
+    return {"letters": of(r"\p{L}"), "numbers": of(r"\p{N}"), "blanks": of(r"\s"), "fixed": _ranges(fixed),
             "lower": {ord(c): low for c in changed if (low := lower.normalize_str(c)) != c.lower()}}
 
 
@@ -120,6 +124,7 @@ class Encoder:
         self.blank = re.compile(f"[{tables['blanks']}]+")
         self.lower = {**tables["lower"], ord("Σ"): "σ"}  # by character: no final sigma
         self.odd = re.compile(f"[{_ranges(sorted(self.lower))}]").search
+        self.fixed = re.compile(f"([{tables['fixed']}])") if tables["fixed"] else None
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.any_mark = [s for s in self.special]
         self.cache: dict[str, bytes] = {}
@@ -181,7 +186,10 @@ class Encoder:
 
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
+            if self.fixed and self.fixed.search(text):
+                text = "".join(unicodedata.normalize("NFC", part) for part in self.fixed.split(text))
+            else:
+                text = unicodedata.normalize("NFC", text)
             if self.odd(text):
                 text = "".join(self.lower.get(ord(c)) or c.lower() for c in text)
         text = text.lower()

@@ -60,11 +60,6 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
-def with_columns_only(df: DataFrame, **types: str) -> DataFrame:
-    """The named columns, cast to the given types; extra columns go."""
-    return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in types.items()])
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b), the component
     being its smallest node; any orderable type, nulls and loops ignored.
@@ -115,6 +110,27 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return settled.union(settled.select(F.col("component").alias("node"), "component").distinct())
 
 
+class Passed:
+    """The columns of ``df`` under plain names, so that no name of an operator
+    meets one of them: ``frame`` holds p0, p1, ...; ``kept`` are those that no
+    result column replaces (names are compared without case, as Spark reads
+    them), ``names`` their own names, and ``col(name)`` is a given column."""
+
+    def __init__(self, df: DataFrame, replaced: tuple[str, ...]):
+        gone = {name.lower() for name in replaced}
+        self.columns = df.columns
+        self.frame = df.toDF(*[f"p{k}" for k in range(len(df.columns))])
+        at = [k for k, c in enumerate(df.columns) if c.lower() not in gone]
+        self.kept, self.names = [f"p{k}" for k in at], [df.columns[k] for k in at]
+
+    def name(self, column: str) -> str:
+        exact = [k for k, c in enumerate(self.columns) if c == column]
+        return f"p{(exact or [k for k, c in enumerate(self.columns) if c.lower() == column.lower()])[0]}"
+
+    def col(self, column: str):
+        return F.col(self.name(column))
+
+
 def append_columns(df: DataFrame, source: str, compute, added: list[tuple[str, str]]) -> DataFrame:
     """``df`` with columns that ``compute(arrow column of source)`` gives as a
     list of arrow arrays, one per (name, Spark type) of ``added``. Columns pass
@@ -122,9 +138,9 @@ def append_columns(df: DataFrame, source: str, compute, added: list[tuple[str, s
     import pyarrow as pa
     from pyspark.sql.types import StructField, StructType
 
-    new = {name for name, _ in added}
-    kept = [c for c in df.columns if c not in new]
-    plain = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)], F.col(f"`{source}`").alias("source"))
+    own = Passed(df, tuple(name for name, _ in added))
+    kept = own.names
+    plain = own.frame.select(*[F.col(p).alias(f"c{k}") for k, p in enumerate(own.kept)], own.col(source).alias("source"))
     passed, named = len(kept), [f"c{k}" for k in range(len(kept))] + [f"n{k}" for k in range(len(added))]
 
     def run(batches):
@@ -133,7 +149,7 @@ def append_columns(df: DataFrame, source: str, compute, added: list[tuple[str, s
                 batch = whole.slice(lo, ROWS_AT_ONCE)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:passed], *compute(batch.column(passed))], named)
 
-    fields = [StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(kept)]
+    fields = [StructField(f"c{k}", plain.schema[k].dataType) for k in range(len(kept))]
     extra = StructType.fromDDL(", ".join(f"n{k} {kind}" for k, (_, kind) in enumerate(added)))
     out = plain.mapInArrow(run, StructType([*fields, *extra.fields]))
     return out.toDF(*kept, *[name for name, _ in added])

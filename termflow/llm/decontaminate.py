@@ -14,10 +14,10 @@ Defined results: null and empty texts have no words, hits or items. Results
 depend on the text alone, so repeated rows and ids give equal rows. An item
 without words has no windows; an item without an id makes hits but is not
 listed. With an empty benchmark nothing is hit. Extra columns pass through;
-those named like a result column are replaced.
+those named like a result column, in any case, are replaced.
 
 Scale: a text travels only as its md5. The test side is broadcast when its
-counted rows are at most ``BROADCAST_ROWS``; else both joins shuffle and the
+measured bytes are at most ``BROADCAST_BYTES``; else both joins shuffle and the
 few documents hit are read again for their words. Copies of a document
 collapse with the first shuffle of hits, and the windows of all items that are
 equal are one row with the list of their items, so a passage that a third of
@@ -29,15 +29,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Passed, written
 
 #: Fixed by the query's contract: words of a window.
 SPAN = 10
 #: Words of a fingerprint's gram.
 GRAM = 5
-#: Fingerprints or windows of the test side are broadcast up to this many rows
-#: (about 20 and 150 bytes each).
-BROADCAST_ROWS = 200_000
+#: Fingerprints, or windows with the names of their items, are broadcast up to
+#: this many measured bytes.
+BROADCAST_BYTES = 32 << 20
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RESULT = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -89,9 +89,9 @@ def _split_print(frame: DataFrame) -> DataFrame:
             .withColumn("pos", F.col("print").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).drop("print"))
 
 
-def _small(frame: DataFrame) -> DataFrame:
-    """A broadcast hint once the counted rows are within the bound."""
-    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+def _small(frame: DataFrame, size: Column) -> DataFrame:
+    """A broadcast hint once the measured ``size`` of all rows is within the bound."""
+    return F.broadcast(frame) if (frame.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else frame
 
 
 def window_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", span: int = SPAN, gram: int = GRAM
@@ -121,7 +121,7 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", span:
     # The words from the start of the first window around a hit to the end of the last.
     low = F.greatest(F.col("pos") - (span - k), F.lit(0))
     around = F.slice("words", low + 1, F.col("pos") + span - low)
-    near = _small(known)
+    near = _small(known, F.lit(16))
     if near is not known:
         hits = (_split_print(worded.select("tid", "words", F.explode("prints").alias("print")))
                 .join(near, "fp").select("tid", "pos", low.alias("low"), around.alias("near"))
@@ -139,29 +139,29 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", span:
               .select("tid", "low", "near", "size", F.explode(F.sequence("first", "last")).alias("start")))
     candidates = spread.select("tid", "start", "size", F.array_join(
         F.slice("near", F.col("start") - F.col("low") + 1, F.col("size")), " ").alias("window"))
-    return (candidates.join(_small(windows), "window")
+    held = F.octet_length("window") + F.aggregate("items", F.lit(32), lambda n, x: n + F.octet_length(x) + 16)
+    return (candidates.join(_small(windows, held.cast("long")), "window")
             .groupBy("tid", "start", "size").agg(F.first("items").alias("items")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, n_hit (words within an occurring window), n_items
     (items with one), items_sha256 and contaminated."""
-    hits = written(window_hits(docs, benchmark, text), "window-hits")
+    own = Passed(docs, RESULT)
+    body = F.coalesce(own.col(text), F.lit(""))
+    hits = written(window_hits(own.frame, benchmark, own.name(text)), "window-hits")
     covered = (hits.select("tid", F.explode(F.expr("sequence(start, start + size - 1)")).alias("at")).distinct()
-               .groupBy("tid").agg(F.count("*").alias("__hit")))
+               .groupBy("tid").agg(F.count("*").alias("hit")))
     listed = (hits.select("tid", F.explode("items").alias("item")).distinct()
-              .groupBy("tid").agg(F.sort_array(F.collect_list("item")).alias("__items")))
-    verdicts = written(covered.join(listed, "tid", "left").withColumnRenamed("tid", "__tid"), "verdicts")
-    kept = [c for c in docs.columns if c not in RESULT]
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    keyed = docs.select(*[F.col(f"`{c}`") for c in kept], F.unhex(F.md5(body)).alias("__tid"),
-                        count_words(F.col(f"`{text}`")).cast("long").alias("n_words"))
-    items = F.coalesce(F.col("__items"), F.array().cast("array<string>"))
-    return keyed.join(verdicts, "__tid", "left").select(
-        *[F.col(f"`{c}`") for c in kept], "n_words",
-        F.coalesce("__hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+              .groupBy("tid").agg(F.sort_array(F.collect_list("item")).alias("items")))
+    verdicts = written(covered.join(listed, "tid", "left"), "verdicts")
+    keyed = own.frame.select(*own.kept, F.unhex(F.md5(body)).alias("tid"), count_words(body).cast("long").alias("n_words"))
+    items = F.coalesce(F.col("items"), F.array().cast("array<string>"))
+    return keyed.join(verdicts, "tid", "left").select(
+        *own.kept, "n_words",
+        F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-        F.col("__hit").isNotNull().alias("contaminated"))
+        F.col("hit").isNotNull().alias("contaminated")).toDF(*own.names, *RESULT)
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

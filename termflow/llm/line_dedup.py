@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Passed, written
 
 #: Characters stripped at both ends of a line: [\x20\x09-\x0D].
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -52,21 +52,21 @@ def line_occurrences(docs: DataFrame, text: str = "text", min_chars: int = 1) ->
 
 def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text") -> DataFrame:
     """``docs`` with kept_text, n_lines (before) and n_dropped."""
-    occurrences = written(line_occurrences(docs, text, min_chars), "line-occurrences")
+    own = Passed(docs, RESULT)
+    occurrences = written(line_occurrences(own.frame, own.name(text), min_chars), "line-occurrences")
     # Written, so that the joins below are between plain exchanges, which adaptive execution may split.
     common = written(occurrences.groupBy("kh").agg(F.sum("docs").alias("docs"))
                      .where(F.col("docs") >= min_docs).select("kh"), "common-lines")
     drops = written(occurrences.join(common, "kh").groupBy("tid")
-                    .agg(F.flatten(F.collect_list("at")).alias("__drop")).withColumnRenamed("tid", "__tid"), "drops")
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    joined = (docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in RESULT], _hash(body).alias("__tid"))
-              .join(drops, "__tid", "left"))
-    lines = split_lines(F.col(f"`{text}`"))
+                    .agg(F.flatten(F.collect_list("at")).alias("gone")), "drops")
+    body = F.coalesce(own.col(text), F.lit(""))
+    wanted = own.kept if own.name(text) in own.kept else [*own.kept, own.name(text)]
+    joined = own.frame.select(*wanted, _hash(body).alias("tid")).join(drops, "tid", "left")
+    lines = split_lines(own.col(text))
     kept = F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drop")),
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")),
         lambda i: F.get(lines, i)), "\n")
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in RESULT],
-        F.when(F.col("__drop").isNull(), F.coalesce(F.col(f"`{text}`"), F.lit(""))).otherwise(kept).alias("kept_text"),
+        *own.kept, F.when(F.col("gone").isNull(), body).otherwise(kept).alias("kept_text"),
         F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"))
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped")).toDF(*own.names, *RESULT)

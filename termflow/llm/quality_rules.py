@@ -4,11 +4,16 @@ and the share of content decides whether the document stays.
 
 The field has a weight per line feature and label and a weight per pair of
 neighbouring labels. It is trained here by gradient ascent on the exact
-log-likelihood (forward-backward), on lines of a bounded sample of labelled
+log-likelihood (forward-backward), on the lines of a bounded sample of labelled
 documents: the ``max_docs`` (2,000) labelled ids of smallest hash outside fold
-0, of at most ``max_lines`` (500) lines each; lines of documents labelled good
-count as content, others as boilerplate. Decoding reads every line of every
-text.
+0, without those of more than ``max_lines`` (500) lines. Lines are taught one
+by one: a line that stands in texts of ``MIN_PLACES`` (5) kinds or more, and of
+half as many as there are texts with it, is boilerplate wherever it stands, so
+also within good prose. The kind of a text, as a line sees it, is its longest
+other line: near copies of one text mostly share it, pages with one menu do
+not. Of the other lines, those of documents labelled good are content, those of
+bad ones boilerplate. A blank line takes the label of the line before it.
+Decoding reads every line of every text.
 
 Defined results: null and empty texts have no words and fail the base rules.
 Blank lines are labelled, but only word characters count for the content
@@ -17,26 +22,29 @@ like a result column are replaced, others pass through; rows that repeat are
 judged each for itself.
 
 Scale: one pass without a shuffle, memory of one block of texts (about 1 MB,
-or the longest text). Training broadcasts at most ``max_docs`` ids.
+or the longest text). Training broadcasts at most ``max_docs`` ids and the
+hashes of their lines (``max_docs * max_lines``), and counts the kinds of text
+with these lines over all documents, two sketches a line, combined in every task.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, SPACES, Rolling, blocks, byte_set, covered, lines, multiplicity, owners, sums, windows, within, words
-from .common import append_columns
+from .common import append_columns, written
 from .quality_classifier import fold
 
-MAX_DOCS, MAX_LINES = 2_000, 500
+MAX_DOCS, MAX_LINES, MIN_PLACES = 2_000, 500, 5
 #: Fixed by the query's contract.
 SYMBOLS, WINDOW, LEAST_WORDS, MOST_REPEATED = b"#*$%&|<>", 8, 20, 30
 #: A document stays when at least this share of its word characters is content.
 LEAST_CONTENT = 0.5
 
+_BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS, np.uint8))
 _CONTINUATION = byte_set((0x80, 0xBF))
 _UPPER, _LOWER, _DIGIT = byte_set((0x41, 0x5A)), byte_set((0x61, 0x7A)), byte_set((0x30, 0x39))
@@ -136,24 +144,20 @@ def viterbi(emission: np.ndarray, transition: np.ndarray, bounds: np.ndarray) ->
     return label
 
 
-def fit_crf(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, rounds: int = 150, rate: float = 0.1,
-            l2: float = 1.0) -> dict:
-    """Weights of maximum penalised likelihood by Adam steps on exact
-    gradients (forward-backward over all sequences at once)."""
+def crf_objective(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, l2: float = 1.0):
+    """Penalised log-likelihood per line of all sequences, and its gradient, as
+    a function of the weights (features by label, then label by next label)."""
     n, f = x.shape
-    model = {"w": np.zeros((f, 2)), "t": np.zeros((2, 2))}
-    if not n or y.min() == y.max():
-        model["w"][0, 0] = 1.0  # everything is content
-        return model
     steps = list(_steps(bounds))
-    theta, m, v = np.zeros(2 * f + 4), np.zeros(2 * f + 4), np.zeros(2 * f + 4)
     one_hot = np.eye(2)[y]
     inner = np.ones(n, bool)
     inner[bounds[:-1][np.diff(bounds) > 0]] = False
     seen_pairs = np.zeros((2, 2))
     at = np.flatnonzero(inner)
     np.add.at(seen_pairs, (y[at - 1], y[at]), 1)
-    for k in range(1, rounds + 1):
+    ends = bounds[1:][np.diff(bounds) > 0] - 1
+
+    def value_and_gradient(theta: np.ndarray) -> tuple[float, np.ndarray]:
         w, trans = theta[:2 * f].reshape(f, 2), theta[2 * f:].reshape(2, 2)
         emission = x @ w
         alpha, beta = np.zeros((n, 2)), np.zeros((n, 2))
@@ -169,12 +173,64 @@ def fit_crf(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, rounds: int = 150,
         unary = np.exp(total - norm[:, None])
         pair = np.exp(alpha[at - 1][:, :, None] + trans[None] + (emission[at] + beta[at])[:, None, :]
                       - norm[at][:, None, None]).sum(0)
+        seen = (emission * one_hot).sum() + (trans * seen_pairs).sum()
+        value = (seen - np.logaddexp(alpha[ends, 0], alpha[ends, 1]).sum() - l2 * (theta @ theta) / 2) / n
         grad = np.concatenate([(x.T @ (one_hot - unary)).ravel(), (seen_pairs - pair).ravel()]) / n - l2 * theta / n
+        return float(value), grad
+
+    return value_and_gradient
+
+
+def fit_crf(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, rounds: int = 150, rate: float = 0.1,
+            l2: float = 1.0) -> dict:
+    """Weights of maximum penalised likelihood by Adam steps on exact
+    gradients (forward-backward over all sequences at once)."""
+    n, f = x.shape
+    model = {"w": np.zeros((f, 2)), "t": np.zeros((2, 2))}
+    if not n or y.min() == y.max():
+        model["w"][0, 0] = 1.0  # everything is content
+        return model
+    objective = crf_objective(x, y, bounds, l2)
+    theta, m, v = np.zeros(2 * f + 4), np.zeros(2 * f + 4), np.zeros(2 * f + 4)
+    for k in range(1, rounds + 1):
+        _, grad = objective(theta)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta = theta + rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-9)
     return {"w": theta[:2 * f].reshape(f, 2), "t": theta[2 * f:].reshape(2, 2)}
 
 
+def line_names(text: Column) -> Column:
+    """Of each line, blanks around it aside: minus its length, and its hash (0
+    for blank lines)."""
+    def name(line):
+        return F.when(F.length(line) > 0, F.xxhash64(line)).otherwise(0).cast("long")
+
+    stripped = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.btrim(x, F.lit(_BLANKS)))
+    return F.transform(stripped, lambda x: F.struct((-F.length(x)).alias("size"), name(x).alias("line")))
+
+
+def placed_lines(docs: DataFrame, wanted: DataFrame, min_places: int = MIN_PLACES) -> DataFrame:
+    """(line): those of ``wanted`` that ``docs`` (text) hold in texts of
+    ``min_places`` kinds or more, and of half as many as there are texts with
+    them. Texts and kinds are counted by mergeable sketches (5 % error)."""
+    rows = docs.select(F.xxhash64("text").alias("tid"), F.array_sort(F.array_distinct(line_names(F.col("text")))).alias("lines"))
+    longest, next_longest = (F.get("lines", F.lit(k))["line"] for k in (0, 1))
+    at = rows.select("tid", longest.alias("a"), next_longest.alias("b"), F.explode("lines.line").alias("line")).where("line <> 0")
+    place = F.when(F.col("line") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    found = (at.select("tid", "line", place.alias("place")).join(F.broadcast(wanted), "line").groupBy("line")
+             .agg(F.approx_count_distinct("place").alias("places"), F.approx_count_distinct("tid").alias("texts")))
+    return found.where((F.col("places") >= min_places) & (2 * F.col("places") >= F.col("texts"))).select("line")
+
+
+def teach(y: np.ndarray, lines: np.ndarray, placed: np.ndarray) -> np.ndarray:
+    """Labels of the lines of one document from its own (1 is boilerplate) and
+    the lines found in many places."""
+    label = np.where(np.isin(lines, placed), 1, y)
+    for k in np.flatnonzero(lines == 0):  # in order, so runs of blank lines agree
+        label[k] = label[k - 1] if k else y[k]
+    return label
+
+
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_lines: int = MAX_LINES) -> dict:
     """Fit the field; label 0 is content, 1 boilerplate."""
     ids = (labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id")) != 0))
@@ -189,19 +245,25 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_line
                 x = block.line_features()
                 rows += [x[a:b].ravel().tolist() if b - a <= max_lines else []
                          for a, b in zip(block.l_bounds[:-1], block.l_bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))],
-                                             ["doc_id", "y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64())),
+                                              batch.column(3)], ["doc_id", "y", "x", "lines"])
 
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most max_docs pairs of numbers are broadcast; at most max_docs * max_lines lines come back.
-    rows = (sample.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
-            .mapInArrow(measure, "doc_id long, y int, x array<double>").where(F.size("x") > 0)
-            .groupBy("doc_id").agg(F.min(F.struct("y", "x")).alias("r")).select("doc_id", "r.y", "r.x")
-            .toArrow().sort_by("doc_id"))
+    sample = written(every.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text", line_names(F.col("text"))["line"].alias("lines"))
+                     .mapInArrow(measure, "doc_id long, y int, x array<double>, lines array<long>").where(F.size("x") > 0)
+                     .groupBy("doc_id").agg(F.min(F.struct("y", "x", "lines")).alias("r"))
+                     .select("doc_id", "r.y", "r.x", "r.lines"), "crf-sample")
+    wanted = sample.select(F.explode("lines").alias("line")).where("line <> 0").distinct()
+    placed = np.array([r["line"] for r in placed_lines(every, wanted).collect()], np.int64)
+    rows = sample.toArrow().sort_by("doc_id")
     xs = [np.array(x, float).reshape(-1, len(FEATURES)) for x in rows.column("x").to_pylist()]
     sizes = [len(x) for x in xs]
     x = np.concatenate(xs) if xs else np.zeros((0, len(FEATURES)))
-    y = np.repeat(1 - np.array(rows.column("y").to_pylist(), int).clip(0, 1), sizes).astype(int)
+    own = 1 - np.array(rows.column("y").to_pylist(), int).clip(0, 1)
+    taught = [teach(np.full(len(lines), label), np.array(lines, np.int64), placed)
+              for label, lines in zip(own, rows.column("lines").to_pylist(), strict=True)]
+    y = np.concatenate(taught).astype(int) if taught else np.zeros(0, int)
     return fit_crf(x, y, np.concatenate([[0], np.cumsum(sizes)]).astype(int))
 
 

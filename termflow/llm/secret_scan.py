@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from .arrays import LOWER, blocks
 from .common import append_columns
 
+_JWT = r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
 #: (kind, expression, group measured, least characters). The first three are
 #: fixed by the query's contract, in the order they are listed there.
 RULES = (
@@ -43,7 +44,7 @@ RULES = (
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("jwt", _JWT, 0, 1),
     ("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}", 0, 1),
 )
 BASE = ("assign", "access", "hex")
@@ -157,9 +158,32 @@ class Segment:
         return out
 
 
+_RUNS = re.compile(r"[A-Za-z0-9_-]+", re.ASCII)
+
+
+def _web_tokens(text: str) -> list[tuple[int, int]]:
+    """Spans of the ``jwt`` rule, from whole runs of its characters: the
+    expression alone would start anew at every ``eyJ`` of a long run."""
+    found, before = [], []
+    for m in _RUNS.finditer(text):
+        a, b = m.span()
+        if before and not (before[-1][1] + 1 == a and text[a - 1] == "."):
+            before = []
+        if len(before) == 2 and b - a >= 8 and text.startswith("eyJ", before[1][0]) and before[1][1] - before[1][0] >= 11:
+            start = text.find("eyJ", *before[0])
+            if 0 <= start <= before[0][1] - 11:
+                found.append((start, b))
+                before = []
+                continue
+        before = [*before, (a, b)][-2:]
+    return found
+
+
 def find(rule, text: str) -> list[tuple[int, int]]:
     """Spans of a rule's matches in a text."""
     _, expression, group, least = rule
+    if expression == _JWT:
+        return _web_tokens(text)
     return [m.span() for m in re.compile(expression, re.ASCII).finditer(text) if len(m.group(group)) >= least]
 
 

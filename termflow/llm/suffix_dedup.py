@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrays import Rolling, blocks, mix, multiplicity, sliding_min
-from .common import delete, release, scratch_path, written
+from .common import Passed, delete, release, scratch_path, written
 
 #: Fixed by the query's contract: bytes of a repeated string.
 LENGTH = 200
@@ -374,19 +374,17 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
                    batches: int = BATCHES) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and kept (binary: the bytes
     left, which may cut a character)."""
-    copies, result = repeated_spans(docs, text, length, gram, batches)
-    kept = [c for c in docs.columns if c not in RESULT]
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    all_gone = copies.select(F.col("tid").alias("__tid"), F.lit(True).alias("__copied"))
-    some_gone = result.select(F.col("tid").alias("__tid"), F.col("n_removed").alias("__removed"),
-                              F.col("n_spans").alias("__spans"), F.col("kept").alias("__kept"))
-    verdicts = written(all_gone.join(some_gone, "__tid", "full"), "verdicts")
-    copied = F.col("__copied").isNotNull()
+    own = Passed(docs, RESULT)
+    copies, result = repeated_spans(own.frame, own.name(text), length, gram, batches)
+    body = F.coalesce(own.col(text).cast("string"), F.lit(""))
+    all_gone = copies.select("tid", F.lit(True).alias("copied"))
+    some_gone = result.select("tid", F.col("n_removed").alias("removed"), F.col("n_spans").alias("spans"), F.col("kept").alias("left"))
+    verdicts = written(all_gone.join(some_gone, "tid", "full"), "verdicts")
+    copied = F.col("copied").isNotNull()
     size = F.octet_length(body).cast("long")
-    return (docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64(body).alias("__tid"))
-            .join(verdicts, "__tid", "left")
-            .select(*[F.col(f"`{c}`") for c in kept], size.alias("n_bytes"),
-                    F.when(copied, size).otherwise(F.coalesce("__removed", F.lit(0))).cast("long").alias("n_removed"),
-                    F.when(copied, 1).otherwise(F.coalesce("__spans", F.lit(0))).cast("long").alias("n_spans"),
-                    F.when(copied, F.lit(b"")).when(F.col("__kept").isNotNull(), F.col("__kept"))
-                    .otherwise(body.cast("binary")).alias("kept")))
+    return (own.frame.select("*", F.xxhash64(body).alias("tid")).join(verdicts, "tid", "left")
+            .select(*own.kept, size.alias("n_bytes"),
+                    F.when(copied, size).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
+                    F.when(copied, 1).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
+                    F.when(copied, F.lit(b"")).when(F.col("left").isNotNull(), F.col("left"))
+                    .otherwise(body.cast("binary")).alias("kept")).toDF(*own.names, *RESULT))

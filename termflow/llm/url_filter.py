@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, written
+from .common import Passed, connected_components, written
 
 #: Fixed by the query's contract.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -114,7 +114,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 def filter_urls(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
     """``pages`` with host, path, rule and verdict."""
-    edges = link_edges(pages)
+    own = Passed(pages, RESULT)
+    edges = link_edges(own.frame.select(own.col("url").alias("url"), own.col("html").alias("html")))
     if redirects is not None:
         edges = edges.union(redirects.select(F.col("src").cast("string"), F.col("dst").cast("string")))
     edges = written(edges.select(node_of(F.col("src")).alias("a"), node_of(F.col("dst")).alias("b")), "links")
@@ -128,17 +129,15 @@ def filter_urls(pages: DataFrame, rules=RULES, redirects: DataFrame | None = Non
                .agg(F.max((F.col("v") == "allow").cast("int")).alias("allowed"),
                     F.max((F.col("v") == "block").cast("int")).alias("blocked"))
                .where("coalesce(blocked, 0) = 1 and coalesce(allowed, 0) = 0").select("component"))
-    blocked = written(classes.join(decided, "component", "left_semi").select(F.col("node").alias("__node")), "blocked")
-
-    kept = [c for c in pages.columns if c not in RESULT]
-    url = F.col("url")
-    name, own = rule_of(F.col("__host"), F.col("__path"), rules)
-    judged = pages.select(*[F.col(f"`{c}`") for c in kept], host_of(url).alias("__host"), path_of(url).alias("__path"),
-                          node_of(url).alias("__key"))
-    joined = judged.join(blocked, F.col("__key") == F.col("__node"), "left")
-    return joined.select(*[F.col(f"`{c}`") for c in kept], F.col("__host").alias("host"), F.col("__path").alias("path"),
-                         name.alias("rule"),
-                         F.coalesce(own, F.when(F.col("__node").isNotNull(), "block"), F.lit("allow")).alias("verdict"))
+    blocked = written(classes.join(decided, "component", "left_semi").select("node"), "blocked")
+
+    url = own.col("url")
+    name, decision = rule_of(F.col("host"), F.col("path"), rules)
+    judged = own.frame.select(*own.kept, host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("key"))
+    joined = judged.join(blocked, F.col("key") == F.col("node"), "left")
+    return joined.select(*own.kept, "host", "path", name.alias("rule"),
+                         F.coalesce(decision, F.when(F.col("node").isNotNull(), "block"), F.lit("allow")).alias("verdict")
+                         ).toDF(*own.names, *RESULT)
 
 
 def judge_pages(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -11,7 +11,7 @@ hold about ``CHUNK_BYTES``, so memory is bounded by the largest record.
 Defined results: a null html is an empty payload. Payloads of at least
 ``min_bytes`` that are equal share one response, that of the smallest page_id
 (null ids last; among equal ids the smallest url); the others are revisits
-without a body. A record whose digest or length does not hold has
+without a body, also rows that repeat the response's in full. A record whose digest or length does not hold has
 ``valid`` false. Extra columns are not archived.
 
 Scale: payload digests are the shuffle key, not payloads; the smallest page of
@@ -130,13 +130,21 @@ def plan_records(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     # Only digests that occur twice need a decision; those are few and carry no body.
     order = F.struct(F.col("page_id").isNull().alias("no_id"), F.col("page_id").alias("page_id"),
                      F.coalesce(F.col("url"), F.lit("")).alias("url"))
-    shared = (large.groupBy("payload_digest").agg(F.min(order).alias("low"), F.count("*").alias("n"))
-              .where("n > 1").select("payload_digest", "low"))
+    rows = large.groupBy("payload_digest", order.alias("row")).agg(F.count("*").alias("n"))
+    shared = (rows.groupBy("payload_digest").agg(F.min_by("n", "row").alias("lows"), F.min("row").alias("low"), F.sum("n").alias("n"))
+              .where("n > 1").select("payload_digest", "low", "lows"))
     joined = p.join(shared, "payload_digest", "left")
-    revisit = F.col("low").isNotNull() & ~F.col("low").eqNullSafe(order)
-    return joined.select("page_id", "url", "html", "payload_digest",
-                         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-                         F.when(revisit, F.col("low.page_id")).alias("refers_to"))
+    is_low = F.col("low").eqNullSafe(order)
+    # Rows that repeat the response in full are one row with their number, and then one response again.
+    repeated = (joined.where(is_low & (F.col("lows") > 1)).groupBy("page_id", "url", "payload_digest")
+                .agg(F.first("html").alias("html"), F.count("*").alias("n"))
+                .select("page_id", "url", "html", "payload_digest", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("k"))
+                .select("page_id", "url", "html", "payload_digest", (F.col("k") > 1).alias("again"), F.col("page_id").alias("low_id")))
+    single = joined.where(~is_low | (F.coalesce("lows", F.lit(1)) == 1)).select(
+        "page_id", "url", "html", "payload_digest", (F.col("low").isNotNull() & ~is_low).alias("again"), F.col("low.page_id").alias("low_id"))
+    return single.unionByName(repeated).select(
+        "page_id", "url", "html", "payload_digest", F.when(F.col("again"), "revisit").otherwise("response").alias("record_type"),
+        F.when(F.col("again"), F.col("low_id")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 100) -> None:

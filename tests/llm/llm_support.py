@@ -6,6 +6,14 @@ SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 #: only, one word, repeats, non-ASCII, odd separators, a very long text.
 ODD_TEXTS = [None, "", " ", "\n", "\n\n \t\n", "word", "Word\r\nword", "a" * 500, "ab " * 3000, "É é ß ﬁ 漢字 😀  x y",
              "x\x0b\x0cy\x00z", "The The The", "İstanbul K ſ"]
+
+
+def thue_morse(n: int) -> str:
+    """Letters a and b by the parity of the bits of their place; with its
+    complement it defeats polynomial hashes modulo a power of two."""
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -40,17 +40,17 @@ def rows_of(df):
                   key=repr)
 
 
-@pytest.mark.parametrize("bound", [dc.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("bound", [dc.BROADCAST_BYTES, 0])
 def test_matches_plain_python_both_ways(spark, monkeypatch, bound):
-    monkeypatch.setattr(dc, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(dc, "BROADCAST_BYTES", bound)
     docs, bench = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "benchmark"))
     want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
     assert rows_of(dc.report(docs, bench)) == want and any(r[5] for r in want)
 
 
-@pytest.mark.parametrize("bound", [dc.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("bound", [dc.BROADCAST_BYTES, 0])
 def test_odd_items_and_texts(spark, odd, documents, monkeypatch, bound):  # noqa: F811
-    monkeypatch.setattr(dc, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(dc, "BROADCAST_BYTES", bound)
     rows, _ = odd
     long = " ".join(f"w{i % 23}" for i in range(200))
     rows = rows + [(200, long), (201, "x " + long[:60] + " y"), (202, "A b C d E f G h"), (203, long)]

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_support import SF001, documents, odd  # noqa: F401
+from llm_support import SF001, documents, odd, thue_morse  # noqa: F401
 from termflow.llm import jaccard_join as jj
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -143,3 +143,11 @@ def test_links_of_groups_and_chains(documents, monkeypatch, cell, block):  # noq
     want = brute_links(rows)
     assert links_of(jj.near_duplicates(documents(rows))) == want
     assert max(want.values()) > 15 and sum(v == 2 for v in want.values()) > 40
+
+
+def test_texts_made_to_collide_are_not_linked(documents):  # noqa: F811
+    a = thue_morse(2048)
+    other = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two three four {a} six"), (2, f"one two three four {other} six"), (3, f"one two three four {a} six")]
+    got = {r.doc_id: r.component_id for r in jj.near_duplicates(documents(rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}

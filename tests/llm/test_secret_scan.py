@@ -1,5 +1,7 @@
 """Scanning against searching every text with every rule."""
+import random
 import re
+import time
 
 from llm_support import SF01, documents, odd  # noqa: F401
 from termflow.llm import secret_scan as ss
@@ -52,3 +54,20 @@ def test_postings_table(spark, documents):  # noqa: F811
     for r in ss.postings(documents([(1, "a token"), (2, "TOK.x"), (3, None), (4, "oke")])).collect():
         got.setdefault(r.trigram, []).extend(r.doc_ids)
     assert {k: sorted(v) for k, v in got.items()} == {"tok": [1, 2], "oke": [1, 4], "ken": [1]}
+
+
+def test_web_tokens_are_the_expressions_matches():
+    rng = random.Random(4)
+    rule = next(r for r in ss.RULES if r[0] == "jwt")
+    for _ in range(3000):
+        text = "".join(rng.choice(["eyJ", ".", ".eyJ", "abcdefgh", "A", " ", "_-9", "é"]) for _ in range(rng.randint(1, 25)))
+        assert ss.find(rule, text) == [m.span() for m in re.finditer(rule[1], text)], text
+
+
+def test_hostile_text_of_5_mb_is_scanned_in_seconds():
+    began = time.monotonic()
+    for text in ("eyJ" * 1_700_000 + " .eyJ", "eyJ" * 1_700_000 + ".eyJ", ".eyJ" * 1_250_000, "password" + " " * 5_000_000,
+                 "gh" * 2_500_000, "xoxb-" * 1_000_000, "AKIA" * 1_250_000, "a" * 5_000_000):
+        for rule in ss.RULES:
+            ss.find(rule, text)
+    assert time.monotonic() - began < 60

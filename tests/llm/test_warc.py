@@ -25,7 +25,7 @@ def test_revisits_and_odd_rows(spark):
     got = warc.archive_and_read(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
     assert len(got) == len(rows) and all(r.valid for r in got)
     kinds = sorted(((r.page_id, r.record_type, r.refers_to) for r in got), key=str)
-    assert kinds == sorted([(7, "revisit", 3), (3, "response", None), (3, "response", None), (9, "revisit", 3),
+    assert kinds == sorted([(7, "revisit", 3), (3, "response", None), (3, "revisit", 3), (9, "revisit", 3),
                             (None, "revisit", 3), (1, "response", None), (2, "response", None), (4, "response", None),
                             (5, "response", None), (None, "response", None), (11, "response", None)], key=str)
     by = {(r.page_id, r.record_type): r for r in got}
@@ -34,6 +34,17 @@ def test_revisits_and_odd_rows(spark):
     assert warc.archive_and_read(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_repeated_rows_are_one_response(spark):
+    rows = [(1, "u", "p" * 200)] * 3 + [(None, "n", "q" * 200)] * 2 + [(None, None, "r" * 200)] * 2 + [(5, "v", "s" * 20)] * 2 + [
+        (2, "w", "t" * 300)] * 2 + [(4, "w", "t" * 300)] * 2
+    got = warc.archive_and_read(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert all(r.valid for r in got)
+    assert sorted(((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in got), key=str) == sorted(
+        [(1, "response", None, 200)] + [(1, "revisit", 1, 200)] * 2 + [(None, "response", None, 200)] * 2
+        + [(None, "revisit", None, 200)] * 2 + [(5, "response", None, 20)] * 2 + [(2, "response", None, 300), (2, "revisit", 2, 300)]
+        + [(4, "revisit", 2, 300)] * 2, key=str)
+
+
 def test_payloads_come_back_and_files_are_plain_warc(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "<p>\r\n\r\nWARC/1.1</p>"), (2, "v", "b" * 500)], SCHEMA)
     warc.write_archives(pages, str(tmp_path / "a"))
