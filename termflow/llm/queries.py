@@ -127,6 +127,26 @@ _UP, _LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = (f"[x FOR x IN string_split_regex(translate(coalesce(text, ''), {_UP}, {_LOW}), "
           r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> '']")
 
+#: CRC-32 in SQL: the register after each byte (one row, a list t), and the checksum of a string.
+_CRC_TABLE = """tab AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, e: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) AS r(i))"""
+
+
+def _crc(s: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen({s})), "
+            f"lambda k: ('0x' || substr(hex(encode({s})), 2 * k + 1, 2))::BIGINT)), "
+            "lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)")
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_framed(x) for x in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
 ORACLE_SQL = {
     # The pages hold no canonical links or redirects, so classes are single urls here; the tests
     # compare propagation with a brute-force version.
@@ -195,4 +215,55 @@ SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest,
        CASE WHEN p.n >= 100 AND p.page_id <> f.low THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN p.n >= 100 AND p.page_id <> f.low THEN f.low END AS refers_to, true AS valid
 FROM p LEFT JOIN f ON p.d = f.d""",
+    "op11_importance": f"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+g AS (SELECT r, unnest(list_concat(w, [w[j] || ' ' || w[j + 1] FOR j IN range(1, len(w))],
+                                   [w[j] || ' ' || w[j + 1] || ' ' || w[j + 2] FOR j IN range(1, len(w) - 1)])) AS x FROM d),
+q AS (SELECT unnest(list_concat(w, [w[j] || ' ' || w[j + 1] FOR j IN range(1, len(w))],
+                                [w[j] || ' ' || w[j + 1] || ' ' || w[j + 2] FOR j IN range(1, len(w) - 1)])) AS x FROM b),
+u AS MATERIALIZED (SELECT x, {_crc('x')} % 10000 AS bucket FROM (SELECT x FROM g UNION SELECT x FROM q), tab),
+s AS (SELECT bucket, count(*) AS n FROM g JOIN u USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM q JOIN u USING (x) GROUP BY bucket),
+z AS (SELECT (SELECT count(*) FROM g)::DOUBLE AS sn, (SELECT count(*) FROM q)::DOUBLE AS tn),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (sn + 10000) / ((s.n::DOUBLE + 1) * (tn + 10000))))::BIGINT AS v
+         FROM s LEFT JOIN t USING (bucket), z),
+a AS (SELECT r, count(*) AS n_features, sum(v)::BIGINT AS weight FROM g JOIN u USING (x) JOIN gain USING (bucket) GROUP BY r),
+c AS (SELECT d.r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+             / 4294967296::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN a USING (r)),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank, count(*) OVER () AS n FROM c WHERE n_words >= 20)
+SELECT c.doc_id, c.n_features, c.weight, c.score, CASE WHEN k.rank <= 5 * k.n // 100 THEN k.rank END AS rank FROM c LEFT JOIN k USING (r)""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+             CASE WHEN {_crc('doc_id::VARCHAR')} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS held
+      FROM documents, tab),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d),
+lv AS (SELECT lang, n, 0 AS lev, i, leaf AS h FROM p
+       UNION ALL
+       SELECT lang, n, lev + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM lv
+       WHERE (n - 1) >> lev > 0 GROUP BY lang, n, lev, i // 2),
+s AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pl, count(*) OVER () AS m
+      FROM lv WHERE (n - 1) >> lev = 0),
+rt AS (SELECT m, 0 AS lev, pl, subroot AS h FROM s
+       UNION ALL
+       SELECT m, lev + 1, pl // 2, sha256(string_agg(h, '' ORDER BY pl)) FROM rt WHERE (m - 1) >> lev > 0 GROUP BY m, lev, pl // 2),
+steps AS (
+    SELECT p.lang, p.i, l.lev, CASE WHEN x.h IS NULL THEN 'A' WHEN x.i < l.i THEN 'L' || x.h ELSE 'R' || x.h END AS step
+    FROM p JOIN lv l ON l.lang IS NOT DISTINCT FROM p.lang AND l.i = p.i >> l.lev AND (p.n - 1) >> l.lev > 0
+    LEFT JOIN lv x ON x.lang IS NOT DISTINCT FROM l.lang AND x.lev = l.lev AND x.i = xor(l.i, 1)
+    UNION ALL
+    SELECT p.lang, p.i, 1000 + l.lev, CASE WHEN x.h IS NULL THEN 'A' WHEN x.pl < l.pl THEN 'L' || x.h ELSE 'R' || x.h END
+    FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN rt l ON l.pl = s.pl >> l.lev AND (s.m - 1) >> l.lev > 0
+    LEFT JOIN rt x ON x.lev = l.lev AND x.pl = xor(l.pl, 1)),
+paths AS (SELECT lang, i, list(step ORDER BY lev) AS steps FROM steps GROUP BY lang, i),
+f AS (SELECT p.doc_id, p.leaf, s.subroot, (SELECT h FROM rt WHERE (m - 1) >> lev = 0) AS root,
+             sha256(array_to_string(list_transform(coalesce(paths.steps, []), lambda x: substr(x, 2)), '')) AS proof_sha256,
+             list_reduce(list_prepend(p.held, coalesce(paths.steps, [])), lambda h, x: CASE x[1]
+                 WHEN 'L' THEN sha256(substr(x, 2) || h) WHEN 'R' THEN sha256(h || substr(x, 2)) ELSE sha256(h) END) AS folded_root
+      FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang
+      LEFT JOIN paths ON paths.lang IS NOT DISTINCT FROM p.lang AND paths.i = p.i)
+SELECT *, folded_root = root AS verified FROM f""",
 }
