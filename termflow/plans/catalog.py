@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from termflow.functions import parse, text
-from termflow.operators import certify, evaluate, gd, selection, tf
+from termflow.operators import certify, evaluate, frequent, gd, selection, tf
 from termflow.plans.classify import (DOCUMENTS_PREFIX, Pipeline, Preset, metrics_frame, pipeline,
                                      pipeline_from_lines, round_doubles, timed_run)
 from termflow.session import scratch_path
@@ -24,6 +24,7 @@ MAIN = Preset(prefix=DOCUMENTS_PREFIX)
 HARD = Preset(k=200, prefix="EN5", learning_rate=2.0, iterations=5)  # all four outcomes occur
 NO_TRUE_POSITIVE = Preset(prefix="EN5")                              # S15: F1 without a true positive
 DROPPED_K = 10                 # S8: a dictionary so small that documents drop out
+SKETCH_K, SKETCH_COUNTERS = 200, 4_000  # so few counters that tasks drop words
 SHORT_VOCAB_K = 1_000_000      # S6: K larger than the training vocabulary
 CONVERGE_TOL = 5.0             # S12: tolerance reached within the iterations
 
@@ -128,6 +129,12 @@ def q_dictionary_topk(spark, sf_dir):
     return _p(spark, sf_dir).dictionary
 
 
+def q_dictionary_sketch(spark, sf_dir):
+    """AG1/DI1 from a frequent-words sketch with few counters, and an exact
+    count of its candidates."""
+    return frequent.frequent_dictionary(_p(spark, sf_dir).corpus.train, SKETCH_K, SKETCH_COUNTERS)
+
+
 def q_dictionary_short_vocab(spark, sf_dir):
     """S6: K above the vocabulary gives every word, no error."""
     return _p(spark, sf_dir, Preset(k=SHORT_VOCAB_K)).dictionary
@@ -394,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_pairs": q_token_pairs,
     "word_count": q_word_count,
     "dictionary_topk": q_dictionary_topk,
+    "dictionary_sketch": q_dictionary_sketch,
     "dictionary_short_vocab": q_dictionary_short_vocab,
     "dictionary_join": q_dictionary_join,
     "dictionary_join_shuffled": q_dictionary_join_shuffled,

@@ -9,7 +9,7 @@ to 6 decimals on both sides (summation order differs between engines), and
 from __future__ import annotations
 
 from termflow.plans.catalog import (BALANCED, CONVERGE_TOL, DROPPED_K, HARD, MAIN, MICRO, NARROW, NO_TRUE_POSITIVE,
-                                    SHORT_VOCAB_K)
+                                    SHORT_VOCAB_K, SKETCH_K)
 from termflow.params import VARIANCE_KEY_DECIMALS
 from termflow.plans.classify import Preset
 
@@ -183,6 +183,7 @@ def oracle_sql() -> dict[str, str]:
                              "SELECT doc_id, word, count(*) AS n FROM all_tokens GROUP BY doc_id, word")
     q["word_count"] = _with(base, "SELECT word, n FROM counts")
     q["dictionary_topk"] = _with(base, "SELECT pos, word, n FROM dict")
+    q["dictionary_sketch"] = _with(_base(Preset(k=SKETCH_K)), "SELECT pos, word, n FROM dict")
     q["dictionary_short_vocab"] = _with(_base(Preset(k=SHORT_VOCAB_K)), "SELECT pos, word, n FROM dict")
     q["dictionary_join"] = _with(tf_tr, "SELECT doc_id, pos, n FROM tf_train")
     q["dictionary_join_shuffled"] = q["dictionary_join"]

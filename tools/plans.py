@@ -17,7 +17,7 @@ sys.path.insert(0, str(ROOT))
 import numpy as np  # noqa: E402
 
 from termflow.operators import dictionary as dct  # noqa: E402
-from termflow.operators import evaluate, gd, selection, tf  # noqa: E402
+from termflow.operators import blocks, evaluate, gd, selection, tf  # noqa: E402
 from termflow.plans.catalog import MAIN  # noqa: E402
 from termflow.plans.classify import pipeline  # noqa: E402
 from termflow.session import build_session  # noqa: E402
@@ -29,10 +29,10 @@ NOTES = {
                                     "K rows. (The pipeline cuts the counts at the exact threshold first.)",
     "TF build (JN1, AG2-AG4)": "Broadcast dictionary join in the scan stage; partial (doc, pos) count; shuffle on "
                                "(doc, pos); at most K pairs per document collected by doc_id.",
-    "variance statistics (AG5-AG8)": "Stored TF read as pos and tf alone; partial sums by pos, one small shuffle.",
-    "gradient-descent pass (AG10)": "Scores from each row's own arrays; coalesce; partial sums by pos; one shuffle "
-                                    "of at most tasks x K rows.",
-    "GD prediction (ML11)": "Row by row in the scan stage.",
+    "variance statistics (AG5-AG8)": "Stored TF read as pos and tf alone; partial central moments by pos, one small shuffle.",
+    "gradient-descent pass (AG10)": "Packed blocks, coalesced; array operations on whole blocks; one K-vector a "
+                                    "task, summed in a tree above 32 tasks.",
+    "GD prediction (ML11)": "Batch by batch in the scan stage.",
     "ML vectors (FN13)": "Row by row: the Arrow-batched vector UDF.",
     "reduced ML vectors (FN14/ML5)": "Row by row, positions renumbered through a constant array; all-zero rows kept.",
     "confusion (AG11)": "One aggregation over the predictions.",
@@ -55,7 +55,8 @@ def main(sf_dir: str = "/root/testdata/sf0.01", out: str = str(ROOT / "PLANS.md"
         "dictionary ranking (DI1/DI2)": dct.rank_dictionary(dct.word_counts(p.corpus.train), k),
         "TF build (JN1, AG2-AG4)": tf.tf_rows(p.corpus.train, p.dictionary, k),
         "variance statistics (AG5-AG8)": selection.feature_stats(rows, p.counts("train")[1]),
-        "gradient-descent pass (AG10)": gd.gradient_sums(rows, np.full(k, 0.01), "EN", gd.gradient_tasks(spark)),
+        "gradient-descent pass (AG10)": blocks.partial_sums(p.packed(), np.full(k, 0.01), 0.0, blocks.logistic,
+                                                            gd.gradient_tasks(spark)),
         "GD prediction (ML11)": p.gd_predictions(),
         "ML vectors (FN13)": tf.tf_vectors(rows, k, "EN"),
         "reduced ML vectors (FN14/ML5)": tf.selected_vectors(rows, p.selected, p.m_size, "EN"),
