@@ -16,7 +16,8 @@ without a body, also rows that repeat the response's in full. A record whose dig
 
 Scale: payload digests are the shuffle key, not payloads; the smallest page of
 a digest is a partial aggregate, so a payload shared by a third of all pages
-costs a row per task. Bodies are shuffled once, to the writers.
+costs a row per task. Bodies are shuffled once, to the writers, by the key of
+the whole row, so that copies spread over all tasks.
 """
 
 from __future__ import annotations
@@ -123,28 +124,25 @@ def decode_record(member: bytes) -> dict:
 def plan_records(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     """(page_id, url, html, payload_digest, record_type, refers_to): which
     records are responses and which revisits."""
-    p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
-                     F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    p = p.withColumn("payload_digest", F.sha2(F.col("html"), 256))
-    large = p.select("page_id", "url", "payload_digest", F.octet_length("html").alias("n")).where(F.col("n") >= min_bytes)
-    # Only digests that occur twice need a decision; those are few and carry no body.
-    order = F.struct(F.col("page_id").isNull().alias("no_id"), F.col("page_id").alias("page_id"),
-                     F.coalesce(F.col("url"), F.lit("")).alias("url"))
-    rows = large.groupBy("payload_digest", order.alias("row")).agg(F.count("*").alias("n"))
-    shared = (rows.groupBy("payload_digest").agg(F.min_by("n", "row").alias("lows"), F.min("row").alias("low"), F.sum("n").alias("n"))
-              .where("n > 1").select("payload_digest", "low", "lows"))
-    joined = p.join(shared, "payload_digest", "left")
-    is_low = F.col("low").eqNullSafe(order)
-    # Rows that repeat the response in full are one row with their number, and then one response again.
-    repeated = (joined.where(is_low & (F.col("lows") > 1)).groupBy("page_id", "url", "payload_digest")
-                .agg(F.first("html").alias("html"), F.count("*").alias("n"))
-                .select("page_id", "url", "html", "payload_digest", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("k"))
-                .select("page_id", "url", "html", "payload_digest", (F.col("k") > 1).alias("again"), F.col("page_id").alias("low_id")))
-    single = joined.where(~is_low | (F.coalesce("lows", F.lit(1)) == 1)).select(
-        "page_id", "url", "html", "payload_digest", (F.col("low").isNotNull() & ~is_low).alias("again"), F.col("low.page_id").alias("low_id"))
-    return single.unionByName(repeated).select(
-        "page_id", "url", "html", "payload_digest", F.when(F.col("again"), "revisit").otherwise("response").alias("record_type"),
-        F.when(F.col("again"), F.col("low_id")).alias("refers_to"))
+    page_id, url, html = F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit(""))
+    key = ("payload_digest", "id", "no_id", "link", "no_url")  # nulls apart, so that plain equality holds
+    p = pages.select(F.sha2(html, 256).alias("payload_digest"), F.coalesce(page_id, F.lit(0)).alias("id"), page_id.isNull().alias("no_id"),
+                     F.coalesce(url, F.lit("")).alias("link"), url.isNull().alias("no_url"), html.alias("html"))
+    # Only digests that occur twice need a decision, which goes to each row by its whole key, without a body.
+    order = F.struct("no_id", "id", "link")
+    rows = p.where(F.octet_length("html") >= min_bytes).select(*key).groupBy(*key).agg(F.count("*").alias("n"))
+    shared = (rows.groupBy("payload_digest").agg(F.min(order).alias("low"), F.sum("n").alias("n"))
+              .where("n > 1").select("payload_digest", "low"))
+    decided = rows.select(*key).join(shared, "payload_digest").select(*key, "low", (F.col("low") == order).alias("is_low"))
+    # Bodies are shuffled once. Rows that agree in full travel as one with their number, of which one at most is the response.
+    bodies = p.groupBy(*key).agg(F.first("html").alias("html"), F.count("*").alias("n"))
+    each = (bodies.join(decided, list(key), "left")
+            .select(*key, "html", "low", "is_low", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("k")))
+    again = F.col("low").isNotNull() & (~F.col("is_low") | (F.col("k") > 1))
+    return each.select(
+        F.when(~F.col("no_id"), F.col("id")).alias("page_id"), F.when(~F.col("no_url"), F.col("link")).alias("url"), "html", "payload_digest",
+        F.when(again, "revisit").otherwise("response").alias("record_type"),
+        F.when(again & ~F.col("low.no_id"), F.col("low.id")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 100) -> None:

@@ -45,6 +45,20 @@ def test_repeated_rows_are_one_response(spark):
         + [(4, "revisit", 2, 300)] * 2, key=str)
 
 
+def test_bodies_are_shuffled_once(spark):
+    """Repeated rows take the same way as others, not a second join of all
+    bodies: of the exchanges only one carries html."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pages = spark.createDataFrame([(1, "u", "p" * 200)] * 2, SCHEMA)
+        text = warc.plan_records(pages)._jdf.queryExecution().executedPlan().treeString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = text.split("\n")
+    carried = [l for k, l in enumerate(lines) if "Exchange" in l and "html" in lines[k + 1]]
+    assert len(carried) == 1, text
+
+
 def test_payloads_come_back_and_files_are_plain_warc(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "<p>\r\n\r\nWARC/1.1</p>"), (2, "v", "b" * 500)], SCHEMA)
     warc.write_archives(pages, str(tmp_path / "a"))
