@@ -112,3 +112,21 @@ def test_out_of_dictionary_words_stay_at_the_scan(spark):
     assert 200 <= pairs < 200 + 0.1 * 800
     text = few._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in text and text.index("Filter") < text.index("Generate")  # above the explode, below the count
+
+
+def test_vectors_need_no_python_worker(spark, tmp_path):
+    """Full and selected vectors are built in the scan's stage; odd doubles
+    come back to the same bits, and a row without entries keeps its vector."""
+    values = [1 / 3, 5e-324, 0.1 + 0.2, 1.7976931348623157e308, 1e-7]
+    rows = spark.createDataFrame([("AU1", [0, 2, 3, 7, 9], values), ("X2", [], [])],
+                                 "doc_id string, pos array<int>, tf array<double>")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    selected = spark.createDataFrame([(0, 9), (1, 2)], "new_pos int, pos int")
+    full, some = tf.tf_vectors(rows, 20, "AU"), tf.selected_vectors(rows, selected, 2, "AU")
+    for frame in (full, some):
+        assert "Python" not in frame._jdf.queryExecution().toString()
+    assert {r.doc_id: r.features for r in full.collect()} == {
+        "AU1": SparseVector(20, [0, 2, 3, 7, 9], values), "X2": SparseVector(20, [], [])}
+    assert {r.doc_id: r.features for r in some.collect()} == {
+        "AU1": SparseVector(2, [0, 1], [1e-7, 5e-324]), "X2": SparseVector(2, [], [])}
