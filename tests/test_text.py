@@ -2,6 +2,7 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from termflow.functions import text
 
@@ -51,3 +52,17 @@ def test_token_summary_and_pairs(spark):
     assert s == {"d1": (3, "b", "b"), "d2": (0, None, None)}
     pairs = {(r.doc_id, r.word): r.n for r in text.token_pairs(df).collect()}
     assert pairs == {("d1", "a"): 1, ("d1", "b"): 2}
+
+
+def test_spread_bounds_the_text_of_a_task(spark, monkeypatch):
+    """All documents in one partition, as one row group is read: they are dealt
+    by size, whole and with their nulls and repeats."""
+    rows = [(f"D{k % 50}", None if k == 3 else f"word{k} " * 20) for k in range(400)] + [("D1", "same same")] * 3
+    docs = spark.createDataFrame(rows, "doc_id string, text string").coalesce(1)
+    monkeypatch.setattr(text.params, "TASK_TEXT_BYTES", 2000)
+    dealt = text.spread(docs)
+    size = dealt.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0]
+    assert size <= 4 * 2000
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, docs.collect()))
+    plan = lambda df: df._jdf.queryExecution().toString()
+    assert "xxhash64" in plan(text.token_pairs(docs))

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
@@ -114,6 +116,18 @@ def test_out_of_dictionary_words_stay_at_the_scan(spark):
     assert "strategy=broadcast" not in text and text.index("Filter") < text.index("Generate")  # above the explode, below the count
 
 
+def test_a_task_counts_a_bounded_number_of_documents(spark, monkeypatch):
+    """One partition of documents, as a scan of one row group gives it, is
+    dealt to as many tasks as its text needs before the partial counts."""
+    docs = spark.createDataFrame([(f"EN{k}", f"apple banana w{k}") for k in range(300)],
+                                 "doc_id string, text string").coalesce(1)
+    monkeypatch.setattr(tf.params, "TASK_TEXT_BYTES", 200)
+    plan = tf.position_counts(docs, _dict(spark), 3)._jdf.queryExecution().optimizedPlan().toString()
+    found = [int(n) for n in re.findall(r"RepartitionByExpression \[xxhash64.*\], (\d+)", plan)]
+    assert found and found[0] >= 300 * 16 // 200
+    assert tf.position_counts(docs, _dict(spark), 3).count() == 600
+
+
 def test_vectors_need_no_python_worker(spark, tmp_path):
     """Full and selected vectors are built in the scan's stage; odd doubles
     come back to the same bits, and a row without entries keeps its vector."""
