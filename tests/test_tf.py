@@ -144,3 +144,28 @@ def test_vectors_need_no_python_worker(spark, tmp_path):
         "AU1": SparseVector(20, [0, 2, 3, 7, 9], values), "X2": SparseVector(20, [], [])}
     assert {r.doc_id: r.features for r in some.collect()} == {
         "AU1": SparseVector(2, [0, 1], [1e-7, 5e-324]), "X2": SparseVector(2, [], [])}
+
+
+def test_ids_with_too_much_text_are_counted_apart(spark, monkeypatch):
+    """Hot ids, a hot null id, null texts and repeated rows: every token counts
+    once, whichever way its document goes; without a hot id nothing but the
+    text is shuffled."""
+    words = ("apple", "banana", "cherry", "zzz")
+    rows = [(i, None if k % 7 == 3 else " ".join(words[(k + j) % 4] for j in range(k % 5 + 1)))
+            for i, n in (("HOT", 90), (None, 60), ("A", 2), ("B", 1), ("AU9", 3)) for k in range(n)]
+    docs, d = docs_frame(spark, rows), _dict(spark)
+    at = {r.word: r.pos for r in d.collect()}
+    want = {}
+    for i, t in rows:
+        for w in (t or "").split():
+            if w in at:
+                want[i, at[w]] = want.get((i, at[w]), 0) + 1
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for most, hot in ((1 << 20, False), (400, True)):
+        monkeypatch.setattr(tf.params, "TASK_TEXT_BYTES", most)
+        got = tf.tf_rows(docs, d, 3)
+        assert ("Union" in plan(got)) == hot
+        found = got.collect()
+        assert {(r.doc_id, p): n for r in found for p, n in zip(r.pos, r.n)} == want
+        assert len(found) == len({i for i, _ in want})
+        assert all(abs(sum(r.tf) - 1) < 1e-12 for r in found)
