@@ -82,3 +82,14 @@ def test_fits_read_stored_vectors(spark):
             seen = lambda df: {r.doc_id: (r.label, r.features) for r in df.collect()}
             assert seen(frame) == seen(p.vectors(side, features))
     p.release()
+
+
+def test_a_run_of_one_model_caches_no_second_copy(spark):
+    """Spark ML caches the blocks of a fit; a timed run leaves them the memory."""
+    from termflow.plans.classify import pipeline as fresh, timed_run
+    p = fresh(spark, SF001, Preset(prefix="EN", k=300))
+    seen, vectors = [], p.ml_vectors
+    p.ml_vectors = lambda features: seen.append(vectors(features)) or seen[-1]
+    run = timed_run(p, "svm", "full")
+    assert run["train_rows"] == p.counts("train")[1]
+    assert seen and not any(frame.is_cached or frame.storageLevel.useMemory for pair in seen for frame in pair)
